@@ -64,12 +64,12 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
-def _fingerprints(k: int, seed: int):
+def _fingerprints(k: int, seed: int, keep: tuple[str, ...] = ("_id",)):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
             prints = np.array([0 if t is None else majority(shingle_hashes(t, k, seed)) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(prints.view(np.int64))], ["_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(prints.view(np.int64))], [*keep, "fp"])
 
     return run
 
@@ -224,19 +224,38 @@ def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
     return replicas.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(_compare(bits), "a long, b long")
 
 
-def near_groups(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, fingerprint, component_id."""
+def _components(prints: DataFrame, bits: int) -> DataFrame:
+    """(_fp, group): the fingerprint that stands for each fingerprint's component."""
     if not 0 <= bits <= 3:
         raise ValueError("two halves with radius 1 cover links of at most 3 bits")
+    distinct = prints.select("fp").distinct()
+    roots = connected_components(fingerprint_links(distinct, bits))
+    return distinct.join(roots, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("group"))
+
+
+def near_groups(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, seed: int = SEED) -> DataFrame:
+    """One row per document: doc_id, fingerprint, component_id."""
     prints = cut_lineage(fingerprints(docs, k, seed))
+    groups = _components(prints, bits)
     least = prints.groupBy("fp").agg(F.min("_id").alias("low"))
-    roots = connected_components(fingerprint_links(least, bits))
-    grouped = least.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("group"), "low")
+    grouped = groups.join(least, F.col("fp") == F.col("_fp")).select("_fp", "group", "low")
     lowest = grouped.groupBy("group").agg(F.min("low").alias("component_id"))
-    components = grouped.join(lowest, "group").select(F.col("fp").alias("_fp"), "component_id")
+    components = grouped.join(lowest, "group").select("_fp", "component_id")
     joined = prints.join(components, F.col("fp") == F.col("_fp"))
     return joined.select(F.col("_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def representatives(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, seed: int = SEED) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id (then text hash), with all its columns."""
+    prints = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
+    prints = cut_lineage(prints.mapInArrow(_fingerprints(k, seed, ("_id", "_h")), "_id long, _h long, fp long"))
+    groups = _components(prints, bits)
+    least = prints.groupBy("fp").agg(F.min(F.struct("_id", "_h")).alias("low"))
+    lowest = groups.join(least, F.col("fp") == F.col("_fp")).groupBy("group").agg(F.min("low").alias("low"))
+    stays = lowest.select(F.col("low._id").alias("__id"), F.col("low._h").alias("__h"))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h"))
+    return docs.join(stays, on, "left_semi")
+
+
 def op2_simhash_dedup(docs: DataFrame) -> DataFrame:
     return near_groups(docs)
