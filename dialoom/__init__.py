@@ -1,0 +1 @@
+"""dialoom: conversation corpora as DataFrames."""
