@@ -13,20 +13,27 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def _unescape(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
+@pandas_udf(T.ArrayType(T.StringType()))
+def unescape_each(texts: pd.Series) -> pd.Series:
+    """Every text of a list; null lists stay null."""
+    return texts.map(lambda ts: None if ts is None else [None if t is None else html.unescape(t) for t in ts])
+
+
 def unescape_entities(c: Column) -> Column:
     """All named and numeric character references; texts without an ampersand never leave the JVM as text."""
     return F.when(F.contains(c, F.lit("&")), F.coalesce(_unescape(F.when(F.contains(c, F.lit("&")), c)), c)).otherwise(c)
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def sequence_ratio(first: pd.Series, second: pd.Series) -> pd.Series:
     """difflib's similarity, arguments in this order (it is not symmetric); null where either is."""
     return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(first, second, strict=True)], dtype="float64")
@@ -55,7 +62,7 @@ def strict_json_error(text: str | None) -> str | None:
     return None
 
 
-@pandas_udf("string")
+@pandas_udf(T.StringType())
 def strict_json_errors(texts: pd.Series) -> pd.Series:
     return texts.map(strict_json_error)
 
@@ -63,7 +70,7 @@ def strict_json_errors(texts: pd.Series) -> pd.Series:
 def token_counter(make: Callable[[], Callable[[str], int]]):
     """A UDF that counts tokens; ``make`` builds the counter once in each worker."""
 
-    @pandas_udf("long")
+    @pandas_udf(T.LongType())
     def count(texts: pd.Series) -> pd.Series:
         counter = make()
         return texts.map(lambda t: None if t is None else counter(t)).astype("Int64")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import text as X
-from ..functions.udfs import sequence_ratio, unescape_entities
+from ..functions.udfs import sequence_ratio, unescape_each, unescape_entities
 
 NO_MESSAGES = "array<struct<role:string,content:string>>"
 # The quality rules' names, in the order in which they are tried.
@@ -54,7 +54,7 @@ def clean_conversations(df: DataFrame, strip_urls: bool = True) -> DataFrame:
     placed = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), X.replace_placeholders(m["content"]).alias("content")))
     df = df.withColumn("_entity", has_entity).withColumn("messages", placed)
     joined = F.when(F.col("_entity"), F.transform("messages", lambda m: m["content"]))
-    df = df.withColumn("_texts", _unescape_all(joined))
+    df = df.withColumn("_texts", unescape_each(joined))
     unescaped = F.when(F.col("_entity"), F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.get(F.col("_texts"), i).alias("content")))).otherwise(F.col("messages"))
 
     def finish(c: Column) -> Column:
@@ -67,18 +67,6 @@ def clean_conversations(df: DataFrame, strip_urls: bool = True) -> DataFrame:
     return df.withColumn("messages", F.filter(done, lambda m: m["content"] != "")).drop("_entity", "_texts")
 
 
-def _unescape_all(texts: Column) -> Column:
-    import html
-
-    import pandas as pd
-
-    @F.pandas_udf("array<string>")
-    def run(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda ts: None if ts is None else [None if t is None else html.unescape(t) for t in ts])
-
-    return run(texts)
-
-
 def merge_runs(messages: Column, separator: str = "\n\n") -> Column:
     """Consecutive turns of one role become one."""
 

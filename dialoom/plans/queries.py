@@ -176,9 +176,9 @@ def w03(spark, d):
     return curate.shape_turns(in_runs(spark, d), min_chars=700).select("ord", joined(F.col("messages")))
 
 
-REASONS = """q AS (SELECT ord, CASE WHEN len(messages) < 3 THEN 'too_few_messages' WHEN len(list_filter(messages, m -> m.role = 'assistant')) = 0 THEN 'no_assistant_turn'
-  WHEN length(list_filter(messages, m -> m.role = 'assistant')[-1].content) < 300 THEN 'final_response_too_short'
-  WHEN len(list_filter(messages, m -> m.role = 'assistant' AND length(m.content) < 300)) / len(list_filter(messages, m -> m.role = 'assistant')) > 0.3 THEN 'mostly_short_responses' END AS reason FROM conv)"""
+REASONS = """q AS (SELECT ord, CASE WHEN len(messages) < 3 THEN 'too_few_messages' WHEN len(list_filter(messages, lambda m: m.role = 'assistant')) = 0 THEN 'no_assistant_turn'
+  WHEN length(list_filter(messages, lambda m: m.role = 'assistant')[-1].content) < 300 THEN 'final_response_too_short'
+  WHEN len(list_filter(messages, lambda m: m.role = 'assistant' AND length(m.content) < 300)) / len(list_filter(messages, lambda m: m.role = 'assistant')) > 0.3 THEN 'mostly_short_responses' END AS reason FROM conv)"""
 
 
 @query("q07_quality_reason", f"WITH {PLAIN}, {REASONS} SELECT ord, coalesce(reason, 'kept') AS reason FROM q")
@@ -209,7 +209,7 @@ def q06(spark, d):
     return read(spark, d, "conversations").select("conv_id", "turn", X.normalise_for_echo(F.col("text")).alias("normal"))
 
 
-ASSISTANT = "list_sum(list_transform(list_filter(messages, m -> m.role = 'assistant'), m -> length(m.content)))"
+ASSISTANT = "list_sum(list_transform(list_filter(messages, lambda m: m.role = 'assistant'), lambda m: length(m.content)))"
 
 
 @query("w05_source_cap", f"WITH {PLAIN}, x AS (SELECT *, coalesce({ASSISTANT}, 0) AS chars FROM conv), y AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY chars DESC, id DESC) AS rn FROM x) SELECT id, source FROM y WHERE source = 's2' OR rn <= CASE source WHEN 's0' THEN 10 ELSE 20 END")
@@ -397,7 +397,7 @@ def m03(spark, d):
 NORMAL = r"trim(regexp_replace(lower(text), '\s+', ' ', 'g'))"
 
 
-@query("d02_hash", rf"SELECT doc_id, sha256('[{{""content"":' || to_json({NORMAL}) || ',""role"":""user""}}]') AS hash FROM documents".replace('""', '"'))
+@query("d02_hash", f"""SELECT doc_id, sha256('[{{"content":' || to_json({NORMAL}) || ',"role":"user"}}]') AS hash FROM documents""")
 def d02(spark, d):
     one = F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content")))
     return read(spark, d, "documents").select("doc_id", X.conversation_hash(one).alias("hash"))
