@@ -23,6 +23,7 @@ import re
 import zlib
 from collections import deque
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 WINDOW = 2048
 END_ID = 1
 HORIZON = 1 << 16
-STRIDE = 32
+STRIDE = 64
 SENTENCE_PENALTY, STRIDE_PENALTY = 4.0, 48.0
 CACHE = 600_000
 TOKENIZER = "byte_bpe_50k.json"
@@ -151,6 +152,25 @@ class Ids:
         return out, upto[self.ends[k]]
 
 
+@lru_cache(maxsize=2)
+def worker_ids(path: str) -> Ids:
+    """One for each worker process: its tasks share what units have become, up to CACHE of them."""
+    return Ids(path)
+
+
+def power_starts(places: np.ndarray, window: int) -> dict[int, list[int]]:
+    """For each place the earlier places from which its distance is a power of two, at most ``window``; few have any."""
+    out: dict[int, list[int]] = {}
+    for bit in range(window.bit_length()):
+        if 1 << bit <= window:
+            want = places - (1 << bit)
+            at = np.searchsorted(places, want)
+            hit = np.flatnonzero((want >= 0) & (places[np.minimum(at, len(places) - 1)] == want))
+            for j, k in zip(hit.tolist(), at[hit].tolist(), strict=True):
+                out.setdefault(j, []).append(k)
+    return out
+
+
 def plan(places: list[int], penalties: list[float], window: int = WINDOW) -> list[int]:
     """Indices of the cuts, from the first place to the last, of least padding plus penalties.
 
@@ -158,8 +178,7 @@ def plan(places: list[int], penalties: list[float], window: int = WINDOW) -> lis
     """
     m = len(places)
     best, back = [0.0] * m, [0] * m
-    where = {p: k for k, p in enumerate(places)}
-    powers = [1 << b for b in range(window.bit_length()) if 1 << b <= window]
+    exact = power_starts(np.asarray(places, np.int64), window)
     queue: deque[tuple[float, int]] = deque([(0.0, 0)])  # f(i) + i rising: the first is the least in reach
     for j in range(1, m):
         p = places[j]
@@ -167,9 +186,8 @@ def plan(places: list[int], penalties: list[float], window: int = WINDOW) -> lis
             queue.popleft()
         low, i = queue[0]
         cost = low + window - p
-        for power in powers:
-            k = where.get(p - power)
-            if k is not None and best[k] < cost:
+        for k in exact.get(j, ()):
+            if best[k] < cost:
                 cost, i = best[k], k
         if j < m - 1:
             cost += penalties[j]
@@ -220,7 +238,7 @@ class Stream:
         cuts = plan(places.tolist(), np.concatenate(costs).tolist(), self.window)
         stops = places[cuts][1:]
         if not last:
-            stops = stops[stops <= at - self.horizon // 2]
+            stops = stops[stops <= at - self.horizon // 8]
         begin = 0
         for stop in stops.tolist():
             offset = 0
@@ -244,7 +262,7 @@ NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 
 def _pack(path: str | None, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = Ids(path or tokenizer_path())
+        ids = worker_ids(path or tokenizer_path())
         stream = Stream(TaskContext.get().partitionId() << 33, window)
         rows: list[tuple] = []
 
