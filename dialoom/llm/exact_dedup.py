@@ -143,8 +143,8 @@ CLASS = pa.schema([("digest", pa.binary()), ("n", pa.int64()), ("top", pa.int64(
 CLASS_SQL = "digest binary, n long, top long, row long, same long"
 
 
-def _texts(batch: pa.RecordBatch) -> list[bytes]:
-    return [b"" if t is None else t.translate(LOWER_AZ) for t in batch.column("_text").cast(pa.binary()).to_pylist()]
+def _texts(batch: pa.RecordBatch, name: str = "_text") -> list[bytes]:
+    return [b"" if t is None else t.translate(LOWER_AZ) for t in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,18 +204,18 @@ def op1_exact_dedup(docs: DataFrame) -> DataFrame:
 def _carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sha = hashlib.sha256
     for batch in batches:
-        digests = pa.array([sha(t).digest() for t in _texts(batch)], pa.binary())
-        names = [c for c in batch.schema.names if c != "_text"]
+        digests = pa.array([sha(t).digest() for t in _texts(batch, "__text")], pa.binary())
+        names = [c for c in batch.schema.names if c != "__text"]
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), digests], [*names, "__digest"])
 
 
 def deduplicated(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
     """The documents that stay, with all their columns: each row carries its digest to the join with its class."""
-    classes = content_classes(docs, budget=budget).select(F.col("digest").alias("__class"), "top", "row", "same")
-    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("_text", F.col("text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
+    classes = content_classes(docs, budget=budget).select(F.col("digest").alias("__class"), F.col("top").alias("__top"), F.col("row").alias("__at"), F.col("same").alias("__same"))
+    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__text", F.col("text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
     rows = rows.mapInArrow(_carry, f"{kinds}, `__digest` binary")
-    keep = F.col("doc_id").cast("long").eqNullSafe(F.when(F.col("top") != LEAST, F.col("top"))) & ((F.col("same") == 1) | (F.col("__row") == F.col("row")))
+    keep = F.col("doc_id").cast("long").eqNullSafe(F.when(F.col("__top") != LEAST, F.col("__top"))) & ((F.col("__same") == 1) | (F.col("__row") == F.col("__at")))
     return rows.join(classes, F.col("__digest") == F.col("__class")).where(keep).select(*docs.columns)
 
 

@@ -28,10 +28,6 @@ PRIORITIES = 256
 PIECES = 64
 
 
-def _votes(linked: DataFrame) -> DataFrame:
-    return linked.groupBy("text_key", "shard").agg(F.count(F.lit(1)).alias("votes"))
-
-
 def quota(shard: Column, total: int, shards: int) -> Column:
     return F.lit(total // shards) + (shard < total % shards).cast("long")
 
@@ -46,19 +42,24 @@ def _room(linked: DataFrame, total: int, shards: int) -> DataFrame:
 def propagate(linked: DataFrame, total: int, shards: int, rounds: int) -> DataFrame:
     """Rows of ``linked`` (row_key, text_key, group_n, shard, ...) with the shard they have moved to."""
     columns = linked.columns
-    piece_rows = max(1, total // shards // PIECES)
+    piece_rows = max(32, total // shards // PIECES)
     for step in range(rounds):
         room = _room(linked, total, shards)
-        # A vote counts where the group can still grow, or where it is whole already.
-        votes = _votes(linked).join(F.broadcast(room), "shard")  # one row for each shard
+        # A shard is open to a group if what the group has elsewhere (or a piece of it) fits.
+        votes = linked.groupBy("text_key", "shard").agg(F.count(F.lit(1)).alias("votes"), F.max("group_n").alias("n")).join(F.broadcast(room), "shard")  # one row for each shard
+        votes = votes.withColumn("open", F.col("room") >= F.least(F.col("n") - F.col("votes"), F.lit(piece_rows)))
+        # Ties fall to shards in an order of the group's own, so small groups spread.
+        turn = F.pmod(F.col("shard") + F.xxhash64("text_key"), F.lit(shards))
         groups = votes.groupBy("text_key").agg(
-            F.max(F.struct((F.col("room") > 0).cast("int").alias("open"), "votes", (-F.col("shard")).alias("s"))).alias("best"),
-            F.map_from_entries(F.collect_list(F.struct("shard", "votes"))).alias("_of"),  # no more entries than shards
+            F.max(F.struct(F.col("open").cast("int").alias("open"), "votes", (-turn).alias("turn"), "shard")).alias("best"),
+            F.map_from_entries(F.collect_list(F.struct("shard", F.struct("votes", "open").alias("v")))).alias("_of"),  # no more entries than shards
         )
-        groups = groups.where("best.open = 1").select(F.col("text_key").alias("_key"), (-F.col("best.s")).alias("goal"), F.col("best.votes").alias("_goal_votes"), "_of")
+        groups = groups.where("best.open = 1").select(F.col("text_key").alias("_key"), F.col("best.shard").alias("goal"), F.col("best.votes").alias("_goal_votes"), (-F.col("best.turn")).alias("_goal_turn"), "_of")
         asked = linked.join(groups, F.col("text_key") == F.col("_key"), "left").withColumn("_here", F.col("_of")[F.col("shard")]).drop("_of")
-        # Moving pays only towards a shard with at least as many of the group; equal votes go to the lower shard.
-        wants = F.col("goal").isNotNull() & (F.col("goal") != F.col("shard")) & ((F.col("_goal_votes") > F.col("_here")) | ((F.col("_goal_votes") == F.col("_here")) & (F.col("goal") < F.col("shard"))))
+        # Moving pays towards more of the group, at equal votes towards the earlier turn, and away from where the group cannot meet.
+        more = F.col("_goal_votes") > F.col("_here.votes")
+        tie = (F.col("_goal_votes") == F.col("_here.votes")) & (F.col("_goal_turn") < turn)
+        wants = F.col("goal").isNotNull() & (F.col("goal") != F.col("shard")) & (more | tie | ~F.col("_here.open"))
         pieces = F.ceil(F.col("group_n") / piece_rows)
         piece = F.pmod(F.xxhash64("row_key", F.lit(step)), F.greatest(pieces, F.lit(1)))
         asked = asked.withColumn("_wants", wants).withColumn("_priority", F.pmod(F.xxhash64("text_key", piece), F.lit(PRIORITIES)))

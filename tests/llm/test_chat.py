@@ -5,14 +5,17 @@ import numpy as np
 from dialoom.llm import chat_formatting as C
 
 
-def test_query(spark, tables):
-    rows = tables("conversations")
+def test_query(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     out = C.op8_chat_formatting(rows).collect()
     n = rows.groupBy("conv_id").count().count()
     assert len(out) == n and sum(r.n_turns for r in out) == rows.count()
     assert sum(r.n_right for r in out) >= 0.97 * sum(r.n_turns for r in out)
-    turns = {r.conv_id: [x.text for x in sorted(g, key=lambda x: x.turn)] for r in out for g in [[x for x in rows.where(f"conv_id = {r.conv_id}").collect()]]} if n <= 5 else {}
-    assert all(all(t.strip() in r.text for t in turns[r.conv_id]) for r in out if r.conv_id in turns)
+    said = {}
+    for r in rows.orderBy("conv_id", "turn").collect():
+        said.setdefault(r.conv_id, []).append(r.text.strip())
+    whole = sum(all(t in r.text for t in said[r.conv_id]) for r in out)
+    assert whole >= 0.97 * n
 
 
 def test_odd_rows(spark):
