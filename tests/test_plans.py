@@ -54,7 +54,7 @@ LONG = "that is a reply which is long enough to be a real answer to what was sai
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     base = tmp_path_factory.mktemp("corpus")
-    g = [(f"g{k}", i, "sad", "p", str(i % 2), f"hello number {k}_comma_ turn {i}" if i % 2 == 0 else f"{LONG} {k}.Next one", None, "") for k in range(12) for i in range(4)] + [("lone", 0, "x", "p", "0", "only", None, ""), ("bad", 0, "x", "p", "0", "", None, "")]
+    g = [(f"g{k}", i, "sad", "p", str(i % 2), f"hello number {k}_comma_ turn {i}" if i % 2 == 0 else f"{LONG} {k} now.Next one", None, "") for k in range(12) for i in range(4)] + [("lone", 0, "x", "p", "0", "only", None, ""), ("bad", 0, "x", "p", "0", "", None, "")]
     spark.createDataFrame(g, "conv_id string, utterance_idx int, context string, prompt string, speaker_idx string, utterance string, selfeval string, tags string").coalesce(1).write.parquet(str(base / "grouped" / "train.parquet"))
     d = [(json.dumps({"emotion_type": "joy", "dialog": [{"text": f"I am here {k}", "speaker": "usr"}, {"text": f"{LONG} {k}", "speaker": "sys"}]}),) for k in range(6)] + [("broken",)]
     spark.createDataFrame(d, "text string").coalesce(1).write.parquet(str(base / "dialog.parquet"))
