@@ -95,12 +95,12 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, rounds: int = 10, text: st
     linked = propagate(linked, total, shards, rounds)
 
     # What is left of each quota, as spans of the numbers of the other documents: one span for each shard.
-    spans, upto = F.lit(None).cast("int"), 0
+    cases, upto = [], 0
     for shard, room in sorted((r["shard"], r["room"]) for r in _room(linked, total, shards).collect()):
         upto += room
-        spans = F.coalesce(spans, F.when(F.col("_nr") < upto, F.lit(shard)))
+        cases.append(F.when(F.col("_nr") < upto, F.lit(shard)))
     alone = numbered(rows.where("group_n = 1"), "_nr", [], [F.col("doc_id"), F.col("text_crc32")], [F.col("row_key")])
-    filled = alone.withColumn("shard", spans).drop("_nr")
+    filled = cut_lineage(alone.withColumn("shard", F.coalesce(*cases)).drop("_nr"))
     placed = linked.unionByName(filled)
     out = numbered(placed, "slot", ["shard"], [F.col("doc_id"), F.col("text_crc32")], [F.col("row_key")])
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("group_n").alias("group_size"))
