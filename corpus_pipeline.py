@@ -1,4 +1,4 @@
-"""The corpus pipeline: toxicity filter, exact dedup, SimHash near-dedup, mixing to target weights, packing.
+"""The corpus pipeline: toxicity filter, exact dedup, near-dedup by 5-word shingles, mixing to target weights, packing.
 
 Each stage works on all rows that its predecessor kept, and hands on the columns of ``documents``; the last
 one returns the packed pieces. ``run`` writes every stage as Parquet below the shared checkpoint folder and
@@ -11,7 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dialoom.llm import exact_dedup, mixing, packing, simhash_dedup, toxicity
+from dialoom.llm import exact_dedup, jaccard_dedup, mixing, packing, toxicity
 from dialoom.llm.common import ensure_checkpoint_dir, table
 
 
@@ -26,8 +26,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates, the document with the smallest doc_id."""
-    return simhash_dedup.representatives(docs)
+    """Of near-duplicates (5-word shingles, similarity 0.8 or more), the document with the smallest doc_id."""
+    return jaccard_dedup.representatives(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
