@@ -76,7 +76,8 @@ def char_model(words: dict[str, int]) -> np.ndarray:
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each character, what it may stand for and the cost; the empty string stands for nothing."""
     out: list[list[tuple[str, float]]] = []
-    letters = [c.isalpha() for c in token]
+    letters = [k for k, c in enumerate(token) if c.isalpha()]
+    first, last = (letters[0], letters[-1]) if letters else (len(token), -1)
     run = 0
     for k, c in enumerate(token):
         run = run + 1 if k and token[k - 1] == c else 0
@@ -90,28 +91,34 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
             arcs += [(x, LOOK_COST) for x in LOOKS_LIKE.get(c, "")]
             if c in SEPARATORS or c.isspace():
                 arcs.append(("", SEPARATOR_COST))
-            elif not any(letters[k + 1 :]) or not any(letters[:k]) or run:  # a sign at either edge, or repeated, may be ornament
+            elif k >= last or k <= first or run:  # a sign at either edge, or repeated, may be ornament
                 arcs.append(("", -1.5))
         out.append(arcs)
     return out
 
 
 def restore(token: str, model: np.ndarray) -> str:
-    """The likeliest word behind a disguised token (Viterbi over the last two letters)."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for arcs in lattice(token[:256]):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in states.items():
+    """The likeliest word behind a disguised token (Viterbi over the last two letters), in time linear in its length."""
+    # What was read is a chain (before, letter), so no step copies it.
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for arcs in lattice(token):
+        after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, chain) in states.items():
             for c, cost in arcs:
                 if c:
                     x = INDEX.get(c, 1)
-                    key, total, out = (b, x), score + cost + float(model[a, b, x]), text + c
+                    key, total, out = (b, x), score + cost + float(model[a, b, x]), (chain, c)
                 else:
-                    key, total, out = (a, b), score + cost, text
+                    key, total, out = (a, b), score + cost, chain
                 if key not in after or after[key][0] < total:
                     after[key] = total, out
         states = after
-    return max(states.items(), key=lambda s: s[1][0] + float(model[s[0][0], s[0][1], 0]))[1][1] + token[256:]
+    chain = max(states.items(), key=lambda s: s[1][0] + float(model[s[0][0], s[0][1], 0]))[1][1]
+    read = []
+    while chain is not None:
+        chain, c = chain
+        read.append(c)
+    return "".join(reversed(read))
 
 
 def looks_disguised(core: str) -> bool:
@@ -151,11 +158,13 @@ class Reader:
         if any(len(t) <= 2 for t in tokens):
             for apart in APART.finditer(text):
                 letters = "".join(x[0] for x in apart.group().split())
-                # A run of single letters may hold a word and its neighbours: every window that a word can fill is decoded.
-                out.add(restore(letters, self.model))
-                for size in range(3, min(13, len(letters)) + 1):
-                    for at in range(len(letters) - size + 1) if len(letters) <= 64 else (0, len(letters) - size):
-                        out.add(letters[at : at + size])
+                # A run of single letters may hold a word and its neighbours: every window that a word can fill counts,
+                # of the run as it is and of what it restores to.
+                restored = restore(letters, self.model)
+                out.add(restored)
+                for run in {letters, restored}:
+                    for size in range(3, min(13, len(run)) + 1):
+                        out.update(run[at : at + size] for at in range(len(run) - size + 1))
         return out
 
 
