@@ -42,19 +42,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def numbered(df: DataFrame, name: str, within: list[str], order: list[Column], spread: list[Column], buckets: int = NUMBER_BUCKETS) -> DataFrame:
-    """Adds gapless numbers from 0 within each group of ``within``, in order of the bucket, then of ``order``.
+def numbered(df: DataFrame, name: str, within: list[str], order: list[Column], spread: list[Column], buckets: int = NUMBER_BUCKETS, weight: str | None = None) -> DataFrame:
+    """Adds gapless numbers from 0 within each group of ``within``, in order of the bucket, then of ``order``; of ``weight``, its running sum before each row.
 
     A group may hold all rows: it is dealt over ``buckets`` by a hash of ``spread``,
     each bucket is ranked by itself and starts at the sum of the earlier buckets' counts.
     """
     keys = [F.col(c) for c in within]
     dealt = df.withColumn("_bucket", F.pmod(F.xxhash64(*spread), F.lit(buckets)))
-    counts = dealt.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = dealt.groupBy(*within, "_bucket").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*[F.col(c).alias(f"_k_{c}") for c in within], F.col("_bucket").alias("_kb"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    ranked = dealt.withColumn("_rank", F.row_number().over(inside) - 1)
+    rank = F.coalesce(F.sum(weight).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) if weight else F.row_number().over(inside) - 1
+    ranked = dealt.withColumn("_rank", rank)
     on = (F.col("_bucket") == F.col("_kb")) if not within else None
     for c in within:
         same = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
