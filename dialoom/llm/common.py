@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,6 +26,34 @@ def words_of(data: bytes) -> list[bytes]:
     return data.translate(LOWER_AZ).split()
 
 
+def shingle_hashes(data: bytes, k: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of every k-word shingle, repeats included; of the whole sequence if it is shorter; none without words."""
+    words = data.translate(LOWER_AZ).split()
+    if not words:
+        return np.empty(0, np.uint64)
+    h = xxhash.xxh64_intdigest
+    if len(words) <= k:
+        return np.array([h(b" ".join(words), seed)], np.uint64)
+    joined = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    starts = np.empty_like(ends)
+    starts[0] = 0
+    starts[1:] = ends[:-1] + 1
+    return np.array([h(joined[a:b], seed) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half the hashes."""
+    n = len(hashes)
+    if not n:
+        return 0
+    counts = np.zeros(64, np.int64)
+    for at in range(0, n, 1 << 14):  # bounded memory for very long texts
+        part = hashes[at : at + (1 << 14)].astype(">u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -18,13 +18,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut_lineage
-from .simhash_dedup import shingle_hashes
+from .common import connected_components, cut_lineage, majority, shingle_hashes
 
 SHINGLE = 5
 #: The similarity as a fraction of whole numbers, so that no rounding decides a pair.
@@ -33,6 +33,8 @@ SIMILAR = (4, 5)
 COMMON = 1 << 17
 #: Leaders are tried again while more pairs than this for each meeting are left to compare.
 ROUNDS, PAIRS_EACH = 4, 2
+#: Size of the filter that keeps texts without candidates out of a shuffle: 4 MB, whatever the number of candidates.
+FILTER_BITS = 25
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
@@ -81,9 +83,11 @@ def _prefixes(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, often = common.value
         for batch in batches:
-            nodes, sizes, rare, often_met = [], [], [], []
+            nodes, sizes, rare, often_met, prints = [], [], [], [], []
             for text in _texts(batch):
-                found = shingle_set(text)
+                hashes = shingle_hashes(text or b"", SHINGLE)
+                prints.append(majority(hashes))
+                found = np.unique(hashes)
                 nodes.append(xxhash.xxh64_intdigest(found.tobytes()) if len(found) else 0)
                 sizes.append(len(found))
                 rank = np.zeros(len(found), np.int64)
@@ -94,8 +98,8 @@ def _prefixes(common):
                 rare.append(found[first[rank[first] == 0]].view(np.int64))
                 often_met.append(found[first[rank[first] > 0]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_h"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _lists(rare), _lists(often_met)],
-                ["_id", "_h", "node", "n", "rare", "common"],
+                [batch.column("_id"), batch.column("_h"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _lists(rare), _lists(often_met), pa.array(np.array(prints, np.uint64).view(np.int64))],
+                ["_id", "_h", "node", "n", "rare", "common", "fp"],
             )
 
     return run
@@ -132,14 +136,41 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
 
+def _key(doc_id: str, text_hash: str) -> Column:
+    return F.xxhash64(doc_id, text_hash)
+
+
+def _among(keys: DataFrame):
+    """A test whether a key may be among ``keys`` (key long): a filter of FILTER_BITS bits that misses none, whatever their number."""
+    mask = (1 << FILTER_BITS) - 1
+    places = keys.select(F.explode(F.array(F.col("key").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(mask)))).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits")).collect()  # 2^(FILTER_BITS - 6) rows at most
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    if words:
+        table[[r["w"] for r in words]] = [r["bits"] for r in words]
+    shared = keys.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def among(key: pd.Series) -> pd.Series:
+        k, bits = key.to_numpy().view(np.uint64), shared.value.view(np.uint64)
+        found = np.ones(len(k), bool)
+        for shift in (0, 32):
+            p = (k >> np.uint64(shift)) & np.uint64(mask)
+            found &= (bits[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return pd.Series(found)
+
+    return among
+
+
 def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame) -> DataFrame:
     """Of the candidates (a, b) those whose whole sets are similar; each set is made from one text that has it."""
     pairs = cut_lineage(pairs)
     nodes = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node")
-    there = prints.join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("x")).select("node", "x._id", "x._h")
-    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__h"), F.col("text").alias("_text"))
+    there = cut_lineage(prints.select("node", "_id", "_h").join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("x")).select("node", "x._id", "x._h"))
+    among = _among(there.select(_key("_id", "_h").alias("key")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__h"), F.col("text").alias("_text")).where(among(_key("__id", "__h")))
     sets = texts.join(there, F.col("__id").eqNullSafe(F.col("_id")) & (F.col("__h") == F.col("_h"))).select("node", "_text").mapInArrow(_sets, "node long, hashes binary")
-    sets = cut_lineage(sets)
+    sets = cut_lineage(sets.dropDuplicates(["node"]))
     side = lambda x: sets.select(F.col("node").alias(x), F.col("hashes").alias(f"set_{x}"))
     return cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_verify, "a long, b long"))
 
@@ -161,17 +192,18 @@ def _with_roots(meets: DataFrame, links: DataFrame) -> DataFrame:
     return cut_lineage(meets.drop("root").join(roots, "node", "left").select("token", "node", "n", "i", F.coalesce("root", "node").alias("root")))
 
 
-def near_links(prints: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) between sets that span every group of similar sets in ``prints`` (_id, _h, node, n, rare, common).
+def near_links(prints: DataFrame, docs: DataFrame, proposed: DataFrame) -> DataFrame:
+    """Links (a, b) between sets that span every group of similar sets in ``prints`` (of ``prints_of``).
 
-    Rounds with leaders may miss a pair, whose shingles can have several leaders; the last comparison misses none.
+    ``proposed`` (a, b) are checked first. They and the rounds with leaders may miss a pair, whose shingles can have
+    several leaders; the last comparison misses none.
     """
     rows = lambda kind, before: prints.select(F.posexplode(kind).alias("i", "token"), "node", "n", before.alias("b")).select("token", "node", "n", (F.col("i") + F.col("b")).alias("i"))
     rare = rows("rare", F.lit(0)).repartition(F.col("token")).sortWithinPartitions("token", "n").mapInArrow(_meeting, "token long, node long, n int, i int")
     # Common shingles surely meet: they are not dealt out to find that.
     meets = rare.unionByName(rows("common", F.size("rare"))).dropDuplicates(["token", "node"])
-    meets = cut_lineage(meets.select("token", "node", "n", "i", F.col("node").alias("root")))
-    links = docs.sparkSession.createDataFrame([], "a long, b long")
+    links = _verified(proposed, prints, docs)
+    meets = _with_roots(meets.select("token", "node", "n", "i"), links)
     for k in range(ROUNDS):
         by_root = meets.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
         left = by_root.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs"), F.sum("k").alias("k")).first()
@@ -187,18 +219,12 @@ def near_links(prints: DataFrame, docs: DataFrame) -> DataFrame:
     return links.unionByName(_verified(_possible(rest.join(other, "token").where("root < l_root")), prints, docs))
 
 
-def representatives(docs: DataFrame) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id (then text hash), with all its columns."""
+def prints_of(docs: DataFrame) -> DataFrame:
+    """(_id, _h, node, n, rare, common, fp) of each document: its shingle set's hash and size, what it must share with similar sets, its fingerprint."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
     often = texts.select("_text").mapInArrow(_count_common, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON).collect()
     token = np.array([r["token"] for r in often], np.int64).view(np.uint64)
     order = np.argsort(token)
     common = spark.sparkContext.broadcast((token[order], np.array([r["n"] for r in often], np.int64)[order]))
-    prints = cut_lineage(texts.mapInArrow(_prefixes(common), "_id long, _h long, node long, n int, rare array<long>, common array<long>"))
-    roots = connected_components(near_links(prints, docs)).select(F.col("node").alias("_node"), "root")
-    least = prints.groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("low"))
-    lowest = least.join(roots, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("low").alias("low"))
-    stays = lowest.select(F.col("low._id").alias("__id"), F.col("low._h").alias("__h"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h"))
-    return docs.join(stays, on, "left_semi")
+    return texts.mapInArrow(_prefixes(common), "_id long, _h long, node long, n int, rare array<long>, common array<long>, fp long")

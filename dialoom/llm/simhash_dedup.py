@@ -7,10 +7,14 @@ half, and is replicated to every anchor within the covering radius plus the thre
 words of the code, or one, and the anchor beyond the last bit). Any linked pair then meets: where one
 stands, the other has a replica. What meets at an anchor is compared in full.
 
-Only distinct fingerprints are replicated, so copies cost nothing. Anchors where many meet are cut by
-16-bit blocks of the fingerprint (of 3 differing bits, one of four blocks has none), which loses no link.
-An anchor reports a spanning forest of the links that it found, not all pairs; components come from
-alternating star joins.
+Only distinct fingerprints are replicated, so copies cost nothing. Anchors where many stand are first dealt
+out by the bytes of the other half, then cut by 16-bit blocks of the fingerprint (of 3 differing bits, one of
+four has none), which loses no link. An anchor compares what stands there with all that meets there, and
+reports a spanning forest of the links that it found, not all pairs; components come from alternating star
+joins.
+
+The query has its contract's shingles and threshold. ``representatives`` is for pipelines: five words, an exact
+Jaccard similarity of 0.8 or more.
 
 Defined results: a null or empty text, or one of white space only, has fingerprint zero and links like
 any other; null ids form no component of their own but take the smallest id of their group; an empty
@@ -23,45 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_AZ, connected_components, cut_lineage
+from . import jaccard_dedup
+from .common import connected_components, cut_lineage, majority, shingle_hashes
 
 SHINGLE = 3
 BITS = 3
 SEED = 42
 #: An anchor with more fingerprints than this is cut by blocks before it is compared.
 BLOCK_OVER = 512
-
-
-def shingle_hashes(data: bytes, k: int = SHINGLE, seed: int = SEED) -> np.ndarray:
-    """XXH64 of every k-word shingle, repeats included; of the whole sequence if it is shorter; none without words."""
-    words = data.translate(LOWER_AZ).split()
-    if not words:
-        return np.empty(0, np.uint64)
-    h = xxhash.xxh64_intdigest
-    if len(words) <= k:
-        return np.array([h(b" ".join(words), seed)], np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.empty_like(ends)
-    starts[0] = 0
-    starts[1:] = ends[:-1] + 1
-    return np.array([h(joined[a:b], seed) for a, b in zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
-
-
-def majority(hashes: np.ndarray) -> int:
-    """A bit is 1 if it is set in over half the hashes."""
-    n = len(hashes)
-    if not n:
-        return 0
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, 1 << 14):  # bounded memory for very long texts
-        part = hashes[at : at + (1 << 14)].astype(">u8")
-        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
+#: An anchor where more than this stand is dealt out before it is compared.
+SPLIT_OVER = 4096
 
 
 def _fingerprints(k: int, seed: int, keep: tuple[str, ...] = ("_id",)):
@@ -132,37 +110,26 @@ def _replicas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(value.view(np.int64)), pa.array(stands)], ["anchor", "fp", "stands"])
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        self.up[max(a, b)] = min(a, b)
-        return a != b
-
-
-def linked(fp: np.ndarray, bits: int, forest: _Forest, at: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Spanning links among few fingerprints, compared all with all in rows of blocks."""
-    for i in range(0, len(fp), 256):
-        near = np.bitwise_count(fp[i : i + 256, None] ^ fp[None, :]) <= bits
-        for a, b in zip(*np.nonzero(near), strict=True):
-            if a + i < b and forest.join(int(at[a + i]), int(at[b])):
-                yield int(at[a + i]), int(at[b])
-
-
-def bucket_links(fp: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
-    """Spanning links among the distinct fingerprints that meet at an anchor."""
-    fp = np.unique(fp)
-    forest, out = _Forest(len(fp)), []
+def linked(fp: np.ndarray, stands: np.ndarray, bits: int, group: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Spanning links between fingerprints that stand here and all others, compared in rows of blocks. ``group`` tells what is linked already; ``at``: places in it."""
+    who = np.flatnonzero(stands)
+    for i in range(0, len(who), 256):
+        near = np.bitwise_count(fp[who[i : i + 256], None] ^ fp[None, :]) <= bits
+        for a, row in zip(who[i : i + 256].tolist(), near, strict=True):
+            there = np.flatnonzero(row)
+            groups, first = np.unique(group[at[there]], return_index=True)
+            own = group[at[a]]
+            if len(groups) > 1:
+                group[np.isin(group, groups)] = groups[0]
+                yield from ((int(at[a]), int(at[there[f]])) for g, f in zip(groups.tolist(), first.tolist(), strict=True) if g != own)
+
+
+def bucket_links(fp: np.ndarray, stands: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
+    """Spanning links among the fingerprints that meet at an anchor, at least one of each link standing there."""
+    fp, first = np.unique(fp, return_index=True)
+    stands, group, out = stands[first], np.arange(len(fp)), []
     if len(fp) <= BLOCK_OVER:
-        out = list(linked(fp, bits, forest, np.arange(len(fp))))
+        out = list(linked(fp, stands, bits, group, np.arange(len(fp))))
     else:
         # bits + 1 blocks: at most ``bits`` differing bits leave one block the same.
         edges = np.linspace(0, 64, bits + 2).astype(int)
@@ -171,8 +138,8 @@ def bucket_links(fp: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
             order = np.argsort(block, kind="stable")
             cuts = np.flatnonzero(np.diff(block[order])) + 1
             for run in np.split(order, cuts):
-                if len(run) > 1:
-                    out += linked(fp[run], bits, forest, run)
+                if len(run) > 1 and stands[run].any():
+                    out += linked(fp[run], stands[run], bits, group, run)
     return [(int(fp[a]), int(fp[b])) for a, b in out]
 
 
@@ -190,7 +157,7 @@ def _compare(bits: int):
             near = pairs[np.bitwise_count(fp[pairs] ^ fp[pairs + 1]) <= bits]
             found += zip(fp[near].tolist(), fp[near + 1].tolist(), strict=True)
             for i, n in zip(first[(size > 2) & has].tolist(), size[(size > 2) & has].tolist(), strict=True):
-                found += bucket_links(fp[i : i + n], bits)
+                found += bucket_links(fp[i : i + n], stands[i : i + n], bits)
             if found:
                 both = np.array(found, np.uint64).view(np.int64).reshape(-1, 2)
                 return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
@@ -218,10 +185,28 @@ def _compare(bits: int):
     return run
 
 
+def _standing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        fp = batch.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+        for part in (0, 1):
+            own, _, _ = anchors((fp >> np.uint64(32 * part)).astype(np.uint32))
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int64) | (part << 32))], ["anchor"])
+
+
 def fingerprint_links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
-    """Links (a, b) that span every group of the distinct fingerprints in ``distinct`` (fp long)."""
-    replicas = distinct.select("fp").mapInArrow(_replicas, "anchor long, fp long, stands boolean")
-    return replicas.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(_compare(bits), "a long, b long")
+    """Links (a, b) that span every group of the distinct fingerprints in ``distinct`` (fp long).
+
+    Anchors where more than SPLIT_OVER fingerprints stand are dealt out by bytes of the other half: of its four
+    bytes, at most three differing bits leave one the same, so each linked pair still meets in one of the four.
+    """
+    hot = distinct.select("fp").mapInArrow(_standing, "anchor long").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SPLIT_OVER).select(F.col("anchor").alias("_hot"))
+    replicas = distinct.select("fp").mapInArrow(_replicas, "anchor long, fp long, stands boolean").join(cut_lineage(hot), F.col("anchor") == F.col("_hot"), "left")
+    other = F.when(F.shiftright("anchor", 32) == 0, F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp"))
+    pieces = F.array(*[F.lit(k * 256) + F.shiftright(other, 8 * k).bitwiseAND(F.lit(255)) for k in range(4)])
+    dealt = replicas.withColumn("sub", F.explode(F.when(F.col("_hot").isNull(), F.array(F.lit(-1).cast("long"))).otherwise(pieces)))
+    # One number for the anchor and its piece; the anchor has 33 bits, the piece 11.
+    dealt = dealt.select((F.col("anchor") * 2048 + F.col("sub") + 1).alias("anchor"), "fp", "stands")
+    return dealt.repartition(F.col("anchor")).sortWithinPartitions("anchor").mapInArrow(_compare(bits), "a long, b long")
 
 
 def _components(prints: DataFrame, bits: int) -> DataFrame:
@@ -245,16 +230,31 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, seed: int =
     return joined.select(F.col("_id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, k: int = SHINGLE, bits: int = BITS, seed: int = SEED) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id (then text hash), with all its columns."""
-    prints = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
-    prints = cut_lineage(prints.mapInArrow(_fingerprints(k, seed, ("_id", "_h")), "_id long, _h long, fp long"))
-    groups = _components(prints, bits)
-    least = prints.groupBy("fp").agg(F.min(F.struct("_id", "_h")).alias("low"))
-    lowest = groups.join(least, F.col("fp") == F.col("_fp")).groupBy("group").agg(F.min("low").alias("low"))
-    stays = lowest.select(F.col("low._id").alias("__id"), F.col("low._h").alias("__h"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h"))
-    return docs.join(stays, on, "left_semi")
+def candidates(prints: DataFrame, bits: int = BITS) -> DataFrame:
+    """Pairs (a, b) of nodes whose fingerprints are the same, or linked: they span each group. ``prints``: rows (node, fp)."""
+    nodes = cut_lineage(prints.select("node", "fp").distinct())
+    lead = cut_lineage(nodes.groupBy("fp").agg(F.min("node").alias("lead")))
+    same = nodes.join(lead.select(F.col("fp").alias("_fp"), "lead"), F.col("fp") == F.col("_fp")).select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    links = fingerprint_links(lead.select("fp"), bits)
+    side = lambda x: lead.select(F.col("fp").alias(x), F.col("lead").alias(f"lead_{x}"))
+    near = links.join(side("a"), "a").join(side("b"), "b").select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b"))
+    return same.unionByName(near).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """Of each group of near duplicates (5-word shingles, Jaccard similarity 0.8 or more) the row with the smallest id (then text hash, then the other columns), with all its columns.
+
+    Fingerprints that meet at an anchor propose pairs, each of which is checked by its whole shingle sets. Pairs of that
+    similarity may differ in more bits than anchors can cover, so what they leave goes an exact way (``jaccard_dedup``).
+    """
+    prints = cut_lineage(jaccard_dedup.prints_of(docs))
+    links = jaccard_dedup.near_links(prints, docs, candidates(prints))
+    roots = connected_components(links).select(F.col("node").alias("_node"), "root")
+    least = prints.groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("low"))
+    lowest = least.join(roots, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("low").alias("low"))
+    # Structs are equal where the same fields are null; columns of any name stay inside ``doc``.
+    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    return rows.join(lowest.select(F.col("low").alias("key")), "key", "left_semi").groupBy("key").agg(F.min("doc").alias("doc")).select("doc.*")
 
 
 def op2_simhash_dedup(docs: DataFrame) -> DataFrame:

@@ -2,11 +2,11 @@ import numpy as np
 import xxhash
 
 from dialoom.llm import simhash_dedup as S
-from dialoom.llm.common import connected_components
+from dialoom.llm.common import LOWER_AZ, connected_components
 
 
 def fingerprint(text):
-    w = (text or "").encode().translate(S.LOWER_AZ).split()
+    w = (text or "").encode().translate(LOWER_AZ).split()
     shingles = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
     h = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
@@ -72,7 +72,7 @@ def test_hot_anchor_loses_no_link():
         fps.append(v)
     fps = np.array(fps + list(rng.integers(0, 1 << 63, 200).astype(np.uint64)), np.uint64)
     want = components([int(x) for x in np.unique(fps)], [int(x) for x in np.unique(fps)])
-    links = S.bucket_links(fps)
+    links = S.bucket_links(fps, np.ones(len(fps), bool))
     up = {int(x): int(x) for x in fps}
 
     def find(x):
@@ -93,9 +93,20 @@ def test_components(spark):
     assert got == want
 
 
+def test_hot_anchors_are_dealt_out(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    low = rng.integers(0, 1 << 32, 400, dtype=np.int64)
+    fps = [int(x) << 32 | 0x1234 for x in low] + [int(x) << 32 | 0x1234 ^ (1 << int(b)) for x, b in zip(low[:200], rng.integers(0, 32, 200), strict=True)] + [(int(x) ^ 5) << 32 | 0x1235 for x in low[:50]]
+    fps = sorted({x - (1 << 64) if x >> 63 else x for x in fps})
+    monkeypatch.setattr(S, "SPLIT_OVER", 20)
+    links = S.fingerprint_links(spark.createDataFrame([(x,) for x in fps], "fp long")).collect()
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame([(r.a, r.b) for r in links], "a long, b long")).collect()}
+    assert {x: got.get(x, x) for x in fps} == components([x & (1 << 64) - 1 for x in fps], fps)
+
+
 def test_representatives(spark):
     text = " ".join(f"word{k}" for k in range(300))
-    rows = [(5, text, "a"), (3, text + " more", "b"), (9, "something else entirely, short", "c"), (None, None, "d")]
-    out = S.representatives(spark.createDataFrame(rows, "doc_id long, text string, source string"))
-    assert out.columns == ["doc_id", "text", "source"]
+    rows = [(5, text, "a"), (3, text + " more", "b"), (9, "something else entirely, short", "c"), (None, None, "d"), (None, None, "d"), (9, "something else entirely, short", "c")]
+    out = S.representatives(spark.createDataFrame([(*r, k, "x") for k, r in enumerate(rows)], "doc_id long, text string, source string, __id long, key string"))
+    assert out.columns == ["doc_id", "text", "source", "__id", "key"]
     assert sorted((r.doc_id for r in out.collect()), key=repr) == [3, 9, None]
