@@ -4,7 +4,8 @@ A token that looks disguised (letters mixed with look-alike digits and signs, le
 or more, letters set apart by blanks or marks) becomes a lattice: every character may stand for itself or
 for the letters it resembles, repeats may stand for one letter or two, separators may stand for nothing.
 Viterbi decoding under a character trigram model, with a cost for every disguise, gives the restored word.
-Other tokens have a single path, which is themselves.
+Other tokens have a single path, which is themselves. The trigrams are counted over the plain words of all
+documents.
 
 The score is a logistic regression over hashed features of the distinct restored words: the word and its
 first four, five and six letters. Feature counts come from all labelled training rows that the bound
@@ -13,7 +14,8 @@ sample only). Features of the text alone count; labels, language, source and id
 
 Defined results: null and empty texts have no features and score by the intercept; white space of any kind
 separates tokens; a null doc_id counts as held out = false; with no labelled training rows, or only one
-class among them, the score is the smoothed share of label 1 (1/2 without any); an empty table gives no rows.
+class among them, the score is the smoothed share of label 1 (1/2 without any); of labelled rows that repeat an
+id, the text that sorts last trains, and an id labelled both 0 and 1 counts as 1; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,6 @@ from .common import cut_lineage
 
 TRAIN_ROWS = 50_000
 FEATURE_BITS = 20
-MAX_FEATURES = 4096
 #: Features with a smaller log-likelihood ratio against the label tell nothing.
 LEAST_GAIN = 12.0
 THRESHOLD = 0.3
@@ -58,13 +60,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def char_model(words: dict[str, int]) -> np.ndarray:
-    """Log probabilities (SIZE, SIZE, SIZE) of a letter after two others, trigrams backed off to bigrams and single letters."""
-    tri = np.zeros((SIZE, SIZE, SIZE))
-    for word, n in words.items():
-        codes = [0, 0, *(INDEX.get(c, 1) for c in word), 0]
-        for k in range(2, len(codes)):
-            tri[codes[k - 2], codes[k - 1], codes[k]] += n
+def char_model(tri: np.ndarray) -> np.ndarray:
+    """Log probabilities (SIZE, SIZE, SIZE) of a letter after two others, from counts: trigrams backed off to bigrams and single letters."""
     one = tri.sum((0, 1)) + 0.5
     one /= one.sum()
     pair = tri.sum(0)
@@ -73,6 +70,29 @@ def char_model(words: dict[str, int]) -> np.ndarray:
     return np.log(three)
 
 
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Of every code point: 0 for white space, 1 for other signs, 2 for letters outside the alphabet, else its index + 1."""
+    out = np.array([2 if c.isalpha() else 0 if c.isspace() else 1 for c in map(chr, range(0x110000))], np.int32)
+    for c, k in INDEX.items():
+        out[ord(c)] = k + 1
+    return out
+
+
+def trigrams(text: str) -> np.ndarray:
+    """Counts (SIZE ** 3) of letters after two others over the plain words of a lower-case text: those of letters alone but for signs at their edges, without a letter three times in a row."""
+    points = np.frombuffer(f" {text} ".encode("utf-32-le", "replace"), np.uint32)
+    kind = _letters()[points]
+    x = np.where(kind > 1, kind - 1, 0)
+    one = np.r_[0, x[:-1]]
+    two = np.where(one > 0, np.r_[0, 0, x[:-2]], 0)
+    token = np.cumsum(kind == 0)
+    odd = np.bincount(token[(x > 0) & (one == 0)], minlength=token[-1] + 1) > 1  # letters in more than one piece
+    odd[token[2:][(x[2:] > 0) & (points[2:] == points[1:-1]) & (points[2:] == points[:-2])]] = True
+    counts = ((x > 0) | (one > 0)) & ~np.where(x > 0, odd[token], odd[np.r_[0, token[:-1]]])
+    return np.bincount((two[counts] * SIZE + one[counts]) * SIZE + x[counts], minlength=SIZE**3)
+
+
 def lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each character, what it may stand for and the cost; the empty string stands for nothing."""
     out: list[list[tuple[str, float]]] = []
@@ -149,22 +169,27 @@ class Reader:
             self.kept[token] = found
         return found
 
-    def read(self, text: str) -> set[str]:
-        text = text.lower()
+    def apart(self, text: str, tokens: set[str]) -> set[str]:
+        """Words of letters set apart by blanks."""
         out: set[str] = set()
-        tokens = set(text.split())
-        for token in tokens:
-            out.update(self.words_of(token))
-        if any(len(t) <= 2 for t in tokens):
-            for apart in APART.finditer(text):
-                letters = "".join(x[0] for x in apart.group().split())
+        if tokens and min(map(len, tokens)) <= 2:
+            for run in APART.finditer(text):
+                letters = "".join(x[0] for x in run.group().split())
                 # A run of single letters may hold a word and its neighbours: every window that a word can fill counts,
                 # of the run as it is and of what it restores to.
                 restored = restore(letters, self.model)
                 out.add(restored)
-                for run in {letters, restored}:
-                    for size in range(3, min(13, len(run)) + 1):
-                        out.update(run[at : at + size] for at in range(len(run) - size + 1))
+                for whole in {letters, restored}:
+                    for size in range(3, min(13, len(whole)) + 1):
+                        out.update(whole[at : at + size] for at in range(len(whole) - size + 1))
+        return out
+
+    def read(self, text: str) -> set[str]:
+        text = text.lower()
+        tokens = set(text.split())
+        out = self.apart(text, tokens)
+        for token in tokens:
+            out.update(self.words_of(token))
         return out
 
 
@@ -180,23 +205,20 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n): plain words and how many texts of the task have them."""
-    counts: dict[str, int] = {}
-
-    def flush() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-
+def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, n): what all texts of the task add to the trigrams."""
+    total = np.zeros(SIZE**3, np.int64)
     for batch in batches:
-        for text in _texts(batch):
-            for token in set(text.lower().split()):
-                core = EDGE.sub("", token)
-                if core.isalpha() and len(core) < 40 and not RUN.search(core):
-                    counts[core] = counts.get(core, 0) + 1
-            if len(counts) > 300_000:
-                yield flush()
-                counts.clear()
-    yield flush()
+        held, size = [], 0
+        for text in [*_texts(batch), None]:
+            if text is None or size > 1 << 18:
+                total += trigrams(" ".join(held).lower())
+                held, size = [], 0
+            if text:
+                held.append(text)
+                size += len(text)
+    seen = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["cell", "n"])
 
 
 def _count_features(model):
@@ -220,16 +242,24 @@ class Scorer:
         self.weights, self.bias = weights, bias
         self.kept: dict[str, tuple[int, ...]] = {}
 
+    def hit(self, word: str) -> tuple[int, ...]:
+        return tuple(k for f in features(word) if (k := self.at.get(f)) is not None)
+
     def found(self, text: str) -> set[int]:
         out: set[int] = set()
-        for word in self.reader.read(text):
-            hit = self.kept.get(word)
+        text = text.lower()
+        tokens = set(text.split())
+        for token in tokens:
+            hit = self.kept.get(token)
             if hit is None:
-                hit = tuple(k for f in features(word) if (k := self.at.get(f)) is not None)
+                hit = tuple({k for word in self.reader.words_of(token) for k in self.hit(word)})
                 if len(self.kept) >= CACHE:
                     self.kept.clear()
-                self.kept[word] = hit
-            out.update(hit)
+                self.kept[token] = hit
+            if hit:
+                out.update(hit)
+        for word in self.reader.apart(text, tokens):
+            out.update(self.hit(word))
         return out
 
     def score(self, text: str) -> float:
@@ -286,16 +316,20 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS):
     """(char model, chosen features, weights, intercept), learned from labelled rows outside the held-out fold.
 
     ``train_rows`` bounds the sample of labelled rows; what reaches the driver is bounded by it, by the alphabet
-    (letter trigrams) and by MAX_FEATURES.
+    (letter trigrams) and by the number of feature buckets.
     """
     spark = docs.sparkSession
     marked = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and _id is not null").groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    marked = marked.where(~held_out(F.col("_id"))).orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
-    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marked, F.col("doc_id") == F.col("_id")).select("text", "toxic")
-    train = cut_lineage(train.repartition(max(12, spark.sparkContext.defaultParallelism)))
-    words = train.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    trigrams = cut_lineage(words.where("n > 1").orderBy(F.desc("n"), "word").limit(50_000))
-    model = char_model({r["word"]: r["n"] for r in trigrams.collect()})
+    marked = cut_lineage(marked.where(~held_out(F.col("_id"))).orderBy(F.xxhash64("_id"), "_id").limit(train_rows))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # At most ``train_rows`` rows of two numbers: their number is the check of what is broadcast.
+    train = texts.join(F.broadcast(marked), F.col("doc_id") == F.col("_id")).groupBy("_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
+    train = cut_lineage(train.select("text", "toxic").repartition(max(12, spark.sparkContext.defaultParallelism)))
+    cells = texts.select("text").mapInArrow(_count_trigrams, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    tri = np.zeros(SIZE**3)
+    if cells:
+        tri[[r["cell"] for r in cells]] = [r["n"] for r in cells]
+    model = char_model(tri.reshape(SIZE, SIZE, SIZE))
     shared = spark.sparkContext.broadcast(model)
     counted = train.mapInArrow(_count_features(shared), "feature long, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     total = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("t")).first()
@@ -304,7 +338,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS):
     cell = lambda k: k * F.log(F.greatest(k.cast("double"), F.lit(1e-9)))
     a, b = F.col("toxic"), F.col("clean")
     gain = 2 * (cell(a) + cell(b) + cell(t - a) + cell(n - t - b) + cell(F.lit(n)) - cell(a + b) - cell(n - a - b) - cell(F.lit(t)) - cell(F.lit(n - t)))
-    best = counted.where("toxic + clean >= 3").withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "feature").limit(MAX_FEATURES).collect()
+    best = counted.where("toxic + clean >= 3").withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).select("feature").collect()
     chosen = np.array(sorted(r["feature"] for r in best), np.int64)
     found = train.mapInArrow(_find(spark.sparkContext.broadcast((model, chosen))), "hits binary, toxic long").collect()
     rows = [np.frombuffer(r["hits"], np.int32) for r in found]

@@ -1,5 +1,8 @@
+import re
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from dialoom.llm import toxicity as X
@@ -8,7 +11,7 @@ from dialoom.llm import toxicity as X
 @pytest.fixture(scope="module")
 def model():
     words = "idiot loser trash stupid clown moron the and that with over reading water paper little letter".split()
-    return X.char_model({w: 50 for w in words})
+    return X.char_model(X.trigrams(" ".join(words * 50)).reshape(X.SIZE, X.SIZE, X.SIZE))
 
 
 @pytest.mark.parametrize(("seen", "meant"), [("1d10t", "idiot"), ("id!ot", "idiot"), ("i.d.i.o.t", "idiot"), ("idiooooot", "idiot"), ("l0s3r", "loser"), ("tr@sh", "trash"), ("$tupid", "stupid"), ("st-up-id", "stupid"), ("m0r0nnn", "moron"), ("cl0wn", "clown")])
@@ -26,6 +29,61 @@ def test_plain_words_stay(model):
         X.Reader(model).read(odd)
 
 
+def plain_trigrams(text):
+    counts = Counter()
+    for token in text.split():
+        core = token.strip("".join({c for c in token if not c.isalpha()}))
+        if core and core.isalpha() and not re.search(r"(.)\1\1", core):
+            codes = [0, 0, *(X.INDEX.get(c, 1) for c in core), 0]
+            counts.update((codes[k - 2] * X.SIZE + codes[k - 1]) * X.SIZE + codes[k] for k in range(2, len(codes)))
+    return counts
+
+
+def test_trigrams_against_plain_loops(tables):
+    texts = [r.text.lower() for r in tables("documents").where("text is not null").limit(60).collect()]
+    texts += ["", " ", "a", "(well), so-so x1y aaab é. -- l0ser? don't", "größe  straße\u3000ende", "a\ud800b".encode("utf-16", "surrogatepass").decode("utf-16", "replace")]
+    for text in texts:
+        want = plain_trigrams(text)
+        got = X.trigrams(text)
+        assert {int(k): int(got[k]) for k in np.flatnonzero(got)} == dict(want)
+
+
+def test_query_against_plain_scores(spark, tables):
+    """Every score from the restored words of the whole text and the fitted weights, without caches."""
+    docs, labels = tables("documents"), tables("labels")
+    model, chosen, weights, bias = X.fit(docs, labels)
+    got = {r.doc_id: r for r in X.op5_toxicity(docs, labels).collect()}
+    at = {int(f): k for k, f in enumerate(chosen)}
+    for r in docs.collect():
+        words = X.Reader(model).read(r.text or "")
+        found = {at[f] for w in words for f in X.features(w) if f in at}
+        assert abs(got[r.doc_id].score - 1 / (1 + np.exp(-(bias + sum(weights[k] for k in found))))) < 1e-9
+
+
+def test_quality_on_held_out_labels(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    rows = X.op5_toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").where("held_out").collect()
+    caught = sum(r.predicted and r.toxic for r in rows)
+    assert caught >= 0.85 * sum(r.toxic for r in rows) and caught >= 0.9 * sum(r.predicted for r in rows)
+    ranked = sorted(rows, key=lambda r: r.score)
+    places = [k for k, r in enumerate(ranked) if r.toxic]
+    auc = (sum(places) - len(places) * (len(places) - 1) / 2) / (len(places) * (len(rows) - len(places)))
+    print("held out:", caught, sum(r.toxic for r in rows), sum(r.predicted for r in rows), auc)
+    assert auc >= 0.95
+
+
+def test_repeated_rows_nulls_and_clashing_names(spark):
+    text = "alpha beta idiot " * 3
+    docs = [(k, text if k % 4 == 0 else "alpha beta gamma", 0.5, "x") for k in range(400)] + [(8, text, 0.1, "y")] * 3 + [(None, None, None, None)]
+    d = spark.createDataFrame(docs, "doc_id long, text string, score double, toxic string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)] + [(8, 0), (None, 1)], "doc_id long, toxic int")
+    out = X.op5_toxicity(d, labels).collect()
+    assert Counter(r.doc_id for r in out) == Counter(x[0] for x in docs)
+    assert all(r.predicted == int(r.doc_id % 4 == 0) for r in out if r.doc_id is not None)
+    kept = X.accepted(d, labels)
+    assert kept.columns == d.columns and kept.where("text is not null").count() == 300
+
+
 def test_held_out_fold(spark):
     df = spark.range(200).withColumnRenamed("id", "doc_id")
     for r in df.select("doc_id", X.held_out(df.doc_id).alias("h")).collect():

@@ -5,7 +5,8 @@ import time
 
 from dialoom.llm import toxicity as T
 
-MODEL = T.char_model({w: 50 for w in "stupid idiot house garden window people river morning winter market".split()})
+WORDS = "stupid idiot house garden window people river morning winter market".split()
+MODEL = T.char_model(T.trigrams(" ".join(WORDS * 50)).reshape(T.SIZE, T.SIZE, T.SIZE))
 
 
 def run_of(word, before, after):
