@@ -94,6 +94,21 @@ def numbered(df: DataFrame, name: str, within: list[str], order: list[Column], s
     return joined.withColumn(name, (F.col("_start") + F.col("_rank")).cast("long")).drop("_bucket", "_kb", "_start", "_rank", *[f"_k_{c}" for c in within])
 
 
+def most_frequent(counts: DataFrame, count: str, most: int, least: int = 1) -> DataFrame:
+    """The rows whose ``count`` is at least ``least`` and so high that at most ``most`` rows are as frequent: ties stay or go together.
+
+    Only numbers of rows by count reach the driver, so no task sends it ``most`` rows of its own.
+    """
+    by_count = counts.where(F.col(count) >= least).groupBy(F.col(count).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).limit(most).collect()
+    total, bound = 0, None
+    for r in by_count:
+        total += r["n"]
+        if total > most:
+            break
+        bound = r["c"]
+    return counts.where(F.col(count) >= bound) if bound is not None else counts.where(F.lit(False))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Component of each node of ``edges`` (a long, b long): rows (node, root), root the smallest node of the component.
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut_lineage, majority, shingle_hashes
+from .common import connected_components, cut_lineage, majority, most_frequent, shingle_hashes
 
 SHINGLE = 5
 #: The similarity as a fraction of whole numbers, so that no rounding decides a pair.
@@ -223,7 +223,8 @@ def prints_of(docs: DataFrame) -> DataFrame:
     """(_id, _h, node, n, rare, common, fp) of each document: its shingle set's hash and size, what it must share with similar sets, its fingerprint."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
-    often = texts.select("_text").mapInArrow(_count_common, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(COMMON).collect()
+    counts = cut_lineage(texts.select("_text").mapInArrow(_count_common, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
+    often = most_frequent(counts, "n", COMMON).collect()
     token = np.array([r["token"] for r in often], np.int64).view(np.uint64)
     order = np.argsort(token)
     common = spark.sparkContext.broadcast((token[order], np.array([r["n"] for r in often], np.int64)[order]))
