@@ -10,7 +10,7 @@ menus, headers, footers, sidebars, notices, adverts, forms, related links and re
 layouts, with and without semantic tags, with unclosed and truncated markup. No page of a table is used.
 
 Defined results: null and empty pages give an empty text; markup that is never closed ends with the page;
-a tag that the end of the page cuts off is dropped; a page without main blocks gives an empty text; rows
+a head ends with the first element that cannot stand in it; a tag that the end of the page cuts off is dropped; a page without main blocks gives an empty text; rows
 that repeat a page_id are pages each; an empty table gives no rows; other columns are ignored.
 """
 
@@ -29,10 +29,13 @@ from pyspark.sql import functions as F
 
 BLOCK_TAGS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT_TAGS = frozenset("script style noscript template head title svg math iframe object audio video canvas textarea button noembed noframes xmp".split())
+SILENT_TAGS = frozenset("script style noscript template head title svg iframe object audio video canvas textarea button noembed noframes xmp annotation annotation-xml".split())
+#: What may stand in a head; any other element ends it, as its closing tag may be left out.
+HEAD_TAGS = frozenset("title meta link base basefont bgsound script style noscript template".split())
 RAW_TAGS = frozenset("script style textarea title noscript iframe noembed noframes xmp".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
 SCOPES = frozenset("ul ol dl table select body html article section div nav aside main header footer form".split())
+LIST_SCOPES = SCOPES - {"div"}
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
@@ -51,7 +54,10 @@ def _tag_end(html: str, at: int) -> int:
         if not quotes:
             return close + 1
         first = min(quotes)
-        if html[:first].rstrip()[-1:] != "=":  # a stray quote
+        before = first - 1
+        while before >= at and html[before].isspace():
+            before -= 1
+        if html[before] != "=":  # a stray quote
             at = first + 1
             continue
         end = html.find(html[first], first + 1)
@@ -60,16 +66,50 @@ def _tag_end(html: str, at: int) -> int:
         at = end + 1
 
 
+class Node:
+    """An open element below others; pages share the nodes of equal paths, and a node's vector is made once."""
+
+    __slots__ = ("parent", "tag", "words", "depth", "below", "own", "sum", "vector")
+
+    def __init__(self, parent: "Node | None", tag: str, words: tuple):
+        self.parent, self.tag, self.words = parent, tag, words
+        self.depth = parent.depth + 1 if parent else 0
+        self.below: dict[tuple, Node] = {}
+        self.own = self.sum = self.vector = None
+
+    def child(self, tag: str, words: tuple) -> "Node":
+        found = self.below.get((tag, words))
+        if found is None:
+            found = self.below[tag, words] = Node(self, tag, words)
+            _KEPT[0] += 1
+        return found
+
+    def path(self) -> list[tuple[str, tuple]]:
+        out, node = [], self
+        while node.parent is not None:
+            out.append((node.tag, node.words))
+            node = node.parent
+        return out[::-1]
+
+
+#: The root of the kept nodes, and how many there are; they go when they are many, between two pages.
+_KEPT: list = [0, Node(None, "", ())]
+MOST_NODES = 1 << 14
+
+
 class Block:
-    __slots__ = ("path", "parts", "linked", "text")
+    __slots__ = ("node", "parts", "linked", "text")
 
-    def __init__(self, path: tuple):
-        self.path, self.parts, self.linked, self.text = path, [], 0, ""
+    def __init__(self, node: Node):
+        self.node, self.parts, self.linked, self.text = node, [], 0, ""
 
 
 def blocks_of(html: str) -> list[Block]:
-    """Leaf blocks in page order: (path of (tag, attribute words), text with white space collapsed)."""
-    stack: list[tuple[str, tuple]] = []
+    """Leaf blocks in page order: node of the open elements, text with white space collapsed. Time is linear in the page but for scans of open elements."""
+    if _KEPT[0] > MOST_NODES:
+        _KEPT[:] = [0, Node(None, "", ())]
+    stack: list[Node] = []
+    opened: dict[str, int] = {}
     silent, links, at, n = 0, 0, 0, len(html)
     out: list[Block] = []
     now: Block | None = None
@@ -81,7 +121,7 @@ def blocks_of(html: str) -> list[Block]:
         if now is None:
             if raw.isspace():
                 return
-            now = Block(tuple(stack))
+            now = Block(stack[-1] if stack else _KEPT[1])
             out.append(now)
         text = unescape(raw) if "&" in raw else raw
         now.parts.append(text)
@@ -90,9 +130,10 @@ def blocks_of(html: str) -> list[Block]:
 
     def pop_to(k: int) -> None:
         nonlocal silent, links
-        for tag, _ in stack[k:]:
-            silent -= tag in SILENT_TAGS
-            links -= tag == "a"
+        for node in stack[k:]:
+            silent -= node.tag in SILENT_TAGS
+            links -= node.tag == "a"
+            opened[node.tag] -= 1
         del stack[k:]
 
     while at < n:
@@ -114,29 +155,32 @@ def blocks_of(html: str) -> list[Block]:
         if m[1]:
             if tag in BLOCK_TAGS:
                 now = None
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
+            for k in range(len(stack) - 1, -1, -1) if opened.get(tag) else ():
+                if stack[k].tag == tag:
                     pop_to(k)
                     break
-                if stack[k][0] in SCOPES and tag not in BLOCK_TAGS:
+                if stack[k].tag in SCOPES and tag not in BLOCK_TAGS:
                     break
             continue
+        if opened.get("head") and tag not in HEAD_TAGS and tag != "head":
+            pop_to(next(k for k, node in enumerate(stack) if node.tag == "head"))
         if tag == "br":
             say(" ")
             continue
         if tag in BLOCK_TAGS:
             now = None
-            for k in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
-                if stack[k][0] == "p":
+            for k in range(len(stack) - 1, -1, -1) if opened.get("p") else ():  # a block ends an open paragraph
+                if stack[k].tag == "p":
                     pop_to(k)
                     break
-                if stack[k][0] in SCOPES:
+                if stack[k].tag in SCOPES:
                     break
-            for k in range(len(stack) - 1, -1, -1) if tag in CLOSED_BY else ():
-                if stack[k][0] in CLOSED_BY[tag]:
+            closed = CLOSED_BY.get(tag, ())
+            for k in range(len(stack) - 1, -1, -1) if any(opened.get(t) for t in closed) else ():
+                if stack[k].tag in closed:
                     pop_to(k)
                     break
-                if stack[k][0] in SCOPES - {"div"}:
+                if stack[k].tag in LIST_SCOPES:
                     break
         if tag in VOID_TAGS or html[end - 2] == "/" and tag not in BLOCK_TAGS and tag not in RAW_TAGS:
             continue
@@ -148,7 +192,8 @@ def blocks_of(html: str) -> list[Block]:
                 words += [w.lower().rstrip("s") or w.lower() for w in NAME_PARTS.findall(unescape((a[2] or "").strip("\"'")))]
             elif name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", a[2] or ""):
                 words.append("hidden")
-        stack.append((tag, tuple(words[:12])))
+        stack.append((stack[-1] if stack else _KEPT[1]).child(tag, tuple(words)))
+        opened[tag] = opened.get(tag, 0) + 1
         silent += tag in SILENT_TAGS
         links += tag == "a"
         if tag in RAW_TAGS:  # everything up to the closing tag is text of this element
@@ -171,15 +216,30 @@ def _place(word: str, dim: int) -> tuple[int, float]:
     return h % dim, 1.0 if h >> 31 else -1.0
 
 
-@lru_cache(maxsize=1 << 14)
-def _path_vector(path: tuple) -> np.ndarray:
-    x = np.zeros(PATH_DIM, np.float32)
-    for depth, (tag, words) in enumerate(reversed(path)):
-        weight = 1.0 if depth < 2 else 0.7
-        for name in (f"<{tag}", *([f"<<{tag}"] if depth == 0 else []), *words):
+def _path_vector(node: Node) -> np.ndarray:
+    """The element's tag and words and its parent's, hashed, and those of all elements around them with less weight."""
+    chain = []
+    while node is not None and node.sum is None:
+        chain.append(node)
+        node = node.parent
+    for node in reversed(chain):
+        node.own = np.zeros(PATH_DIM, np.float32)
+        if node.parent is None:
+            node.sum = node.own
+            continue
+        for name in (f"<{node.tag}", *node.words):
             k, sign = _place(name, PATH_DIM)
-            x[k] += sign * weight
-    return np.clip(x, -2, 2)
+            node.own[k] += sign
+        node.sum = node.parent.sum + np.float32(0.7) * node.own
+    node = chain[0] if chain else node
+    if node.vector is None:
+        x = node.sum + np.float32(0.3) * node.own
+        if node.parent is not None:
+            x = x + np.float32(0.3) * node.parent.own
+            k, sign = _place(f"<<{node.tag}", PATH_DIM)
+            x[k] += sign
+        node.vector = np.clip(x, -2, 2)
+    return node.vector
 
 
 def vectors(blocks: list[Block]) -> np.ndarray:
@@ -189,7 +249,7 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     lengths = np.array([len(b.text) for b in blocks], np.float32)
     top = max(float(lengths.max()), 1.0) if n else 1.0
     for k, b in enumerate(blocks):
-        x[k, :PATH_DIM] = _path_vector(b.path)
+        x[k, :PATH_DIM] = _path_vector(b.node)
         text = b.text
         words = WORDS.findall(text.lower())
         sums = [0.0] * WORD_DIM
@@ -207,9 +267,9 @@ def vectors(blocks: list[Block]) -> np.ndarray:
         m[5] = min(1.0, len(words) / 30)
         m[6] = sum(text.count(c) for c in ".,;") / (length + 1) * 10
         m[7] = any(c in text for c in "©®|»·")
-        m[8] = b.path[-1][0] in ("h1", "h2", "h3", "h4") if b.path else 0
+        m[8] = b.node.tag in ("h1", "h2", "h3", "h4")
         m[9] = length < 25
-        m[10] = len(b.path) / 10
+        m[10] = b.node.depth / 10
         m[11] = 1
     return x
 
