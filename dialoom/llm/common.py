@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import numpy as np
@@ -59,10 +60,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the shared folder of ``spark.checkpoint.dir``; sets one of its own only where none is set (local tests)."""
+    """Uses the shared folder of ``spark.checkpoint.dir``; a folder of its own only on one machine (tests), where none is set."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="dialoom-checkpoint-"))
 
 
@@ -109,15 +112,16 @@ def most_frequent(counts: DataFrame, count: str, most: int, least: int = 1) -> D
     return counts.where(F.col(count) >= bound) if bound is not None else counts.where(F.lit(False))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Component of each node of ``edges`` (a long, b long): rows (node, root), root the smallest node of the component.
 
     Alternating large-star and small-star joins; every round is a checkpoint. Nodes without an edge have no row.
-    A hub costs a join that can be split, not a list in one task: only minima are aggregated.
+    A hub costs a join that can be split, not a list in one task: only minima are aggregated. Labels only fall, so the
+    rounds end; their number grows with the logarithm of the longest chain.
     """
     e = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
-    for _ in range(max_rounds):
+    while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -126,11 +130,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         least = star.groupBy("a").agg(F.min("b").alias("m"))
         small = star.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = cut_lineage(small.unionByName(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct())
-        stats = e.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("a").alias("nodes"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
-        now = (stats["n"], stats["nodes"], stats["h"])
+        stats = e.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("a").alias("nodes"), F.sum(F.hash("a", "b").cast("long")).alias("h"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
+        now = tuple(stats)
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).unionByName(e.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

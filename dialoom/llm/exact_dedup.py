@@ -25,6 +25,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import LOWER_AZ
 
@@ -204,19 +205,18 @@ def op1_exact_dedup(docs: DataFrame) -> DataFrame:
 def _carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sha = hashlib.sha256
     for batch in batches:
-        digests = pa.array([sha(t).digest() for t in _texts(batch, "__text")], pa.binary())
-        names = [c for c in batch.schema.names if c != "__text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), digests], [*names, "__digest"])
+        digests = pa.array([sha(t).digest() for t in _texts(batch)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("_id"), batch.column("_row"), digests], ["doc", "_id", "_row", "_digest"])
 
 
 def deduplicated(docs: DataFrame, budget: int = 48 << 20) -> DataFrame:
-    """The documents that stay, with all their columns: each row carries its digest to the join with its class."""
-    classes = content_classes(docs, budget=budget).select(F.col("digest").alias("__class"), F.col("top").alias("__top"), F.col("row").alias("__at"), F.col("same").alias("__same"))
-    rows = docs.withColumn("__row", F.monotonically_increasing_id()).withColumn("__text", F.col("text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text")
-    rows = rows.mapInArrow(_carry, f"{kinds}, `__digest` binary")
-    keep = F.col("doc_id").cast("long").eqNullSafe(F.when(F.col("__top") != LEAST, F.col("__top"))) & ((F.col("__same") == 1) | (F.col("__row") == F.col("__at")))
-    return rows.join(classes, F.col("__digest") == F.col("__class")).where(keep).select(*docs.columns)
+    """The documents that stay, with all their columns, of any name: each row carries its digest to the join with its class."""
+    classes = content_classes(docs, budget=budget)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(doc, F.col("doc_id").cast("long").alias("_id"), F.monotonically_increasing_id().alias("_row"), F.col("text").alias("_text"))
+    kinds = T.StructType([rows.schema["doc"], T.StructField("_id", T.LongType()), T.StructField("_row", T.LongType()), T.StructField("_digest", T.BinaryType())])
+    keep = F.col("_id").eqNullSafe(F.when(F.col("top") != LEAST, F.col("top"))) & ((F.col("same") == 1) | (F.col("_row") == F.col("row")))
+    return rows.mapInArrow(_carry, kinds).join(classes, F.col("_digest") == F.col("digest")).where(keep).select("doc.*")
 
 
 ORACLE = r"""

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import NUMBER_BUCKETS, cut_lineage
+from .common import NUMBER_BUCKETS, cut_lineage, numbered
 
 SHARE, MAX_EPOCHS, SEED = 1.5, 2.0, 42
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -80,14 +80,16 @@ def op10_mixing(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix itself: every document as many times as it is taken, with all its columns."""
-    plan = mixed(docs, seed=seed).where("repeats > 0").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"), F.col("source").alias("__source"), F.col("repeats").alias("__repeats"))
-    plan = plan.groupBy("__id", "__text", "__source").agg(F.sum("__repeats").alias("__repeats"), F.count(F.lit(1)).alias("__rows"))
-    rows = docs.withColumn("__hash", F.xxhash64(F.col("text"), F.lit(seed)))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__text")) & F.col("source").cast("string").eqNullSafe(F.col("__source"))
-    # Rows that repeat one document share its count evenly, the first ones take what is left.
-    taken = rows.join(plan, on)
-    single = taken.where("__rows = 1").withColumn("__n", F.col("__repeats"))
-    several = taken.where("__rows > 1").withColumn("__nr", F.row_number().over(Window.partitionBy("__id", "__text", "__source").orderBy("__hash")))
-    several = several.withColumn("__n", F.floor(F.col("__repeats") / F.col("__rows")) + (F.col("__nr") <= F.col("__repeats") % F.col("__rows")).cast("long")).drop("__nr")
-    return single.unionByName(several).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(F.col("__n"), F.lit(0)).cast("int")))).where("__n > 0").select(*docs.columns)
+    """The mix itself: every document as many times as it is taken, with all its columns, of any name."""
+    plan = mixed(docs, seed=seed).where("repeats > 0").select(F.struct("doc_id", "text_hash", "source").alias("key"), "repeats")
+    plan = plan.groupBy("key").agg(F.sum("repeats").alias("repeats"), F.count(F.lit(1)).alias("rows"))
+    # Structs are equal where the same fields are null; the document's columns stay inside ``doc``.
+    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text"), F.lit(seed)).alias("text_hash"), F.col("source").cast("string").alias("source"))
+    counts = docs.select(key.alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).join(plan, "key")
+    single = counts.where("rows = 1").withColumn("n", F.col("repeats"))
+    # Rows that repeat one document share its count evenly; the first ones, in order of all their columns, take what is left.
+    several = cut_lineage(counts.where("rows > 1").withColumn("row", F.monotonically_increasing_id()))
+    several = numbered(several, "nr", ["key"], [F.col("doc"), F.col("row")], [F.col("row")])
+    several = several.withColumn("n", F.floor(F.col("repeats") / F.col("rows")) + (F.col("nr") < F.col("repeats") % F.col("rows")).cast("long")).drop("nr", "row")
+    taken = single.unionByName(several).where("n > 0")
+    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("doc.*")

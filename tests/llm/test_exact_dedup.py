@@ -40,6 +40,13 @@ def test_deduplicated_keeps_columns(spark):
     assert {lower(r.text) for r in rows} == {lower(t) for _, t in ODD}
 
 
+def test_deduplicated_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a", 5, "x", b"d", 1), (2, "A", 6, "y", b"e", 2), (2, "A", 6, "y", b"e", 2), (None, None, None, None, None, None)], "doc_id long, text string, _row int, __text string, digest binary, `top n` int")
+    out = X.deduplicated(df)
+    assert out.columns == df.columns
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == [(2, "A", 6, "y", b"e", 2), (None,) * 6]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert X.op1_exact_dedup(df).collect() == []

@@ -117,6 +117,15 @@ def test_targets_and_taken(spark):
     assert got == Counter({s: n for s, n in taken.items() if n})
 
 
+def test_repeated_with_clashing_names_and_repeated_rows(spark):
+    rows = [(k, "w " * 20, "s", k, "h", k) for k in range(40)] + [(7, "w " * 20, "s", 99, "z", None)] * 5 + [(None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __id long, __hash string, n long")
+    mix = M.repeated(df)
+    assert mix.columns == df.columns
+    first, again = (sorted(map(repr, M.repeated(d).collect())) for d in (df, df.repartition(3)))
+    assert first == again and len(first) == sum(r.taken // 20 for r in M.op10_mixing(df).collect() if r.size)
+
+
 def test_mixing_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string, source string")
     assert M.op10_mixing(df).collect() == [] and M.repeated(df).collect() == []
