@@ -2,7 +2,14 @@
 
 Each stage works on all rows that its predecessor kept, and hands on the columns of ``documents``; the last
 one returns the packed pieces. ``run`` writes every stage as Parquet below the shared checkpoint folder and
-reads it again, so a lost executor never sends a later stage back to the start.
+reads it again, so a lost executor never sends a later stage back to the start. A stage's folder is removed once
+its successor is written; the last one stays, as the result reads it.
+
+Defined results: a null text counts as empty, so of all null and empty texts one row stays, the one with the
+largest doc_id (of rows that repeat it too); it scores by the intercept, has size 0 and is not taken by the mix.
+A null doc_id is an id of its own, and the smallest. White space alone is near to empty. A null source is a source of
+its own. Very long texts are read whole. Columns that are not the documents' own, of any name, are carried along. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -46,6 +53,11 @@ STAGES = [("toxicity", filter_toxic), ("exact_dedup", drop_copies), ("simhash_de
 ORACLE_SQL = None
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
@@ -56,4 +68,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return out
         out.write.parquet(f"{folder}/{k}-{name}")
         docs = spark.read.parquet(f"{folder}/{k}-{name}")
+        if k:
+            remove(spark, f"{folder}/{k - 1}-{STAGES[k - 1][0]}")
     return docs
