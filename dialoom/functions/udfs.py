@@ -76,3 +76,16 @@ def token_counter(make: Callable[[], Callable[[str], int]]):
         return texts.map(lambda t: None if t is None else counter(t)).astype("Int64")
 
     return count
+
+
+def bpe_counter(path: str | None = None):
+    """A counter of tokens by a published byte-level vocabulary; ``path``: its file, else the installed one."""
+
+    def make() -> Callable[[str], int]:
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(str(path or public_tokenizers.path("byte_bpe_50k.json")))
+        return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    return token_counter(make)

@@ -9,7 +9,6 @@ from pyspark.sql.window import Window
 from ..functions import text as X
 from ..functions.udfs import sequence_ratio, unescape_each, unescape_entities
 
-NO_MESSAGES = "array<struct<role:string,content:string>>"
 # The quality rules' names, in the order in which they are tried.
 RULES = ("too_few_messages", "no_assistant_turn", "final_response_too_short", "mostly_short_responses", "assistant_echoes_user")
 
@@ -67,16 +66,18 @@ def clean_conversations(df: DataFrame, strip_urls: bool = True) -> DataFrame:
     return df.withColumn("messages", F.filter(done, lambda m: m["content"] != "")).drop("_entity", "_texts")
 
 
-def merge_runs(messages: Column, separator: str = "\n\n") -> Column:
-    """Consecutive turns of one role become one."""
+def runs(messages: Column, name: str) -> Column:
+    """The messages cut where the field ``name`` changes: an array of arrays, in time linear in the turns."""
+    changes = F.transform(messages, lambda m, i: F.when((i == 0) | ~m[name].eqNullSafe(F.get(messages, i - 1)[name]), i))
+    starts = F.filter(changes, lambda i: i.isNotNull())
+    return F.transform(starts, lambda i, k: F.slice(messages, i + 1, F.coalesce(F.get(starts, k + 1), F.size(messages)) - i))
 
-    def step(acc: Column, m: Column) -> Column:
-        last = F.try_element_at(acc, F.lit(-1))
-        same = last["role"].eqNullSafe(m["role"]) & (F.size(acc) > 0)
-        joined = F.struct(m["role"].alias("role"), F.concat(last["content"], F.lit(separator), m["content"]).alias("content"))
-        return F.when(same, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(m)))
 
-    return F.aggregate(messages, F.array().cast(NO_MESSAGES), step)
+def merge_runs(messages: Column, separator: str = "\n\n") -> Column:
+    """Consecutive turns of one role become one (W01); a run with a null content has none."""
+    said = lambda run: F.transform(run, lambda m: m["content"])
+    content = lambda run: F.when(~F.exists(said(run), lambda c: c.isNull()), F.array_join(said(run), separator))
+    return F.transform(runs(messages, "role"), lambda run: F.struct(F.get(run, F.lit(0))["role"].alias("role"), content(run).alias("content")))
 
 
 def drop_leading_assistant(messages: Column) -> Column:

@@ -7,20 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
 from ..schemas import SPAN, ParseError
+from .curate import runs
 from .parse import Registry
 
 
 def alternating_roles(messages: Column) -> Column:
     """The first speaker is the user; the role flips whenever the speaker changes."""
-    start = F.struct(F.lit("").alias("speaker"), F.lit(1).alias("flips"), F.array().cast("array<struct<role:string,content:string>>").alias("out"))
 
-    def step(acc: Column, m: Column) -> Column:
-        first = F.size(acc["out"]) == 0
-        flips = F.when(first, F.lit(0)).when(m["speaker_id"].eqNullSafe(acc["speaker"]), acc["flips"]).otherwise(acc["flips"] + 1)
-        role = F.when(flips % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
-        return F.struct(m["speaker_id"].alias("speaker"), flips.alias("flips"), F.concat(acc["out"], F.array(F.struct(role.alias("role"), m["content"].alias("content")))).alias("out"))
+    def said(run: Column, k: Column) -> Column:
+        role = F.when(k % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
+        return F.transform(run, lambda m: F.struct(role.alias("role"), m["content"].alias("content")))
 
-    return F.aggregate(messages, start, step, lambda acc: acc["out"])
+    return F.flatten(F.transform(runs(messages, "speaker_id"), said))
 
 
 def fixed_roles(messages: Column, user: str) -> Column:

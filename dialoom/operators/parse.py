@@ -144,9 +144,10 @@ def parse_stats(parsed: DataFrame) -> DataFrame:
     )
 
 
-def parse_report(parsed: DataFrame, dataset_id: str, most_warnings: int = 1000) -> ParseReport:
+def parse_report(parsed: DataFrame, dataset_id: str) -> ParseReport:
+    """The report lists every warning; where rejects may be many, ``rejects`` is the table to write instead."""
     s = parse_stats(parsed).first()
-    warnings = [r["warning"] for r in rejects(parsed).orderBy("ord").limit(most_warnings).collect()]
+    warnings = [r["warning"] for r in rejects(parsed).orderBy("ord").toLocalIterator()]
     return ParseReport(dataset_id, s["num_conversations"], s["avg_turns"], s["max_turns"], s["min_turns"], s["skipped_conversations"], warnings)
 
 

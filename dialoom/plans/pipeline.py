@@ -264,14 +264,19 @@ def run_audit(spark: SparkSession, config: dict, catalog: Catalog, audit_path: s
     return losses
 
 
-def write_audit(losses: DataFrame, checked: DataFrame, audit_path: str, breakdown_path: str, examples_dir: str) -> None:
-    sinks.write_text(reports.audit_md([r.asDict() for r in losses.collect()]), audit_path)
-    categories = [r.asDict() for r in stats.error_breakdown(checked).orderBy(F.desc("n"), "first_ord").collect()]
+def failing_ids(checked: DataFrame) -> dict[str, list[str]]:
+    """Ids of the failing conversations by category, one for each error: the report lists them all."""
     ids: dict[str, list[str]] = {}
     failing = checked.select("ord", "id", F.posexplode("errors").alias("pos", "error")).select(validate.error_category(F.col("error")).alias("category"), "ord", "pos", "id")
     for r in failing.orderBy("ord", "pos").toLocalIterator():
         ids.setdefault(r["category"], []).append(r["id"])
-    sinks.write_text(reports.breakdown_md(categories, ids), breakdown_path)
+    return ids
+
+
+def write_audit(losses: DataFrame, checked: DataFrame, audit_path: str, breakdown_path: str, examples_dir: str) -> None:
+    sinks.write_text(reports.audit_md([r.asDict() for r in losses.collect()]), audit_path)
+    categories = [r.asDict() for r in stats.error_breakdown(checked).orderBy(F.desc("n"), "first_ord").collect()]
+    sinks.write_text(reports.breakdown_md(categories, failing_ids(checked)), breakdown_path)
     chosen = stats.error_examples(checked).select("category", "rn", F.col("ord").alias("_o"))
     rows = checked.join(chosen, F.col("ord") == F.col("_o")).orderBy("category", "rn").collect()
     for c in categories:

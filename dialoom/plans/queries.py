@@ -22,11 +22,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+#: Canonical conversations know two roles, so queries let the user speak what the tables call system turns.
+TALK = "(SELECT conv_id, turn, CASE role WHEN 'system' THEN 'user' ELSE role END AS role, text FROM conversations)"
+
+
+def expanded(sql: str) -> str:
+    return sql.replace("FROM talk", f"FROM {TALK}")
+
+
 def query(name: str, sql: str | None = None):
     def add(f):
         QUERIES[name] = f
         if sql is not None:
-            ORACLES[name] = sql
+            ORACLES[name] = expanded(sql)
         return f
 
     return add
@@ -36,6 +44,10 @@ def read(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def talk(spark: SparkSession, d: str) -> DataFrame:
+    return read(spark, d, "conversations").withColumn("role", F.when(F.col("role") == "system", F.lit("user")).otherwise(F.col("role")))
+
+
 def grouped(rows: DataFrame, text: Column, role: Column | None = None) -> DataFrame:
     """Canonical conversations of (conv_id, turn, role, text) rows."""
     turn = F.struct("turn", (F.col("role") if role is None else role).alias("role"), text.alias("content"))
@@ -47,12 +59,12 @@ def grouped(rows: DataFrame, text: Column, role: Column | None = None) -> DataFr
 
 
 def plain(spark: SparkSession, d: str) -> DataFrame:
-    return grouped(read(spark, d, "conversations").where("role <> 'system'"), F.col("text"))
+    return grouped(talk(spark, d), F.col("text"))
 
 
 PLAIN = """conv AS (SELECT conv_id AS ord, 'conv_' || conv_id AS id, 's' || (conv_id % 3) AS source,
   {'split': 'train', 'source_dataset': 's' || (conv_id % 3), 'original_id': CAST(conv_id AS VARCHAR), 'context': CASE WHEN conv_id % 5 > 0 THEN 'c' || (conv_id % 5) END} AS metadata,
-  list({'role': role, 'content': text} ORDER BY turn) AS messages FROM conversations WHERE role <> 'system' GROUP BY conv_id)"""
+  list({'role': role, 'content': text} ORDER BY turn) AS messages FROM talk GROUP BY conv_id)"""
 
 
 def dirty(text: Column, key: Column) -> Column:
@@ -70,10 +82,10 @@ DIRTY = """CASE conv_id % 4 WHEN 0 THEN replace(replace(text, ', ', '_comma_ '),
 
 
 def dirty_rows(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "conversations").where("role <> 'system'").select("conv_id", "turn", "role", dirty(F.col("text"), F.col("conv_id")).alias("content"))
+    return talk(spark, d).select("conv_id", "turn", "role", dirty(F.col("text"), F.col("conv_id")).alias("content"))
 
 
-DIRTY_ROWS = f"d AS (SELECT conv_id, turn, role, {DIRTY} AS content FROM conversations WHERE role <> 'system')"
+DIRTY_ROWS = f"d AS (SELECT conv_id, turn, role, {DIRTY} AS content FROM talk)"
 PLACED = "replace(replace(replace(content, '_comma_', ','), '_period_', '.'), '_quote_', '\"')"
 UNESCAPED = f"replace(replace(replace({PLACED}, '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
 SPACED = rf"regexp_replace({UNESCAPED}, '([a-z])([.!?])([A-Z])', '\1\2 \3', 'g')"
@@ -120,7 +132,7 @@ def c08(spark, d):
 
 
 def dirty_conversations(spark: SparkSession, d: str) -> DataFrame:
-    return grouped(read(spark, d, "conversations").where("role <> 'system'"), dirty(F.col("text"), F.col("conv_id")))
+    return grouped(talk(spark, d), dirty(F.col("text"), F.col("conv_id")))
 
 
 @query("c09_clean_conversation", f"WITH {DIRTY_ROWS} SELECT conv_id AS ord, string_agg({CLEAN}, '~' ORDER BY turn) AS joined FROM d WHERE {CLEAN} <> '' GROUP BY 1")
@@ -137,16 +149,16 @@ def a08(spark, d):
 
 # --- turns and quality ---
 
-RUNS = "CASE WHEN turn % 5 < 2 THEN 'user' ELSE 'assistant' END"
+RUNS = "CASE WHEN (turn + 2 * (conv_id % 2)) % 5 < 2 THEN 'user' ELSE 'assistant' END"
 
 
 def in_runs(spark: SparkSession, d: str) -> DataFrame:
-    """Roles from the turn, so runs of one role occur; odd conversations start at turn 2 with the assistant."""
-    rows = read(spark, d, "conversations").where("turn >= 2 * (conv_id % 2)")
-    return grouped(rows, F.col("text"), F.when(F.col("turn") % 5 < 2, F.lit("user")).otherwise(F.lit("assistant")))
+    """Roles from the turn, so runs of one role occur; odd conversations start with the assistant."""
+    rows = read(spark, d, "conversations")
+    return grouped(rows, F.col("text"), F.when((F.col("turn") + 2 * (F.col("conv_id") % 2)) % 5 < 2, F.lit("user")).otherwise(F.lit("assistant")))
 
 
-RUN_ROWS = f"""r AS (SELECT conv_id, turn, {RUNS} AS role, text FROM conversations WHERE turn >= 2 * (conv_id % 2)),
+RUN_ROWS = f"""r AS (SELECT conv_id, turn, {RUNS} AS role, text FROM conversations),
   s AS (SELECT *, CASE WHEN role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM r),
   g AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM s),
   m AS (SELECT conv_id, run, any_value(role) AS role, string_agg(text, chr(10)||chr(10) ORDER BY turn) AS content FROM g GROUP BY 1, 2)"""
@@ -334,13 +346,14 @@ def n05(spark, d):
 
 
 def faulty(spark: SparkSession, d: str) -> DataFrame:
-    """Raw roles (system among them), some ids blank, some texts blank, some conversations of one turn."""
-    rows = read(spark, d, "conversations").where("not (conv_id % 6 = 1 and turn > 0)")
+    """Raw roles (system among them), some ids blank, some texts blank; of every sixth conversation each turn is one of its own."""
+    rows = read(spark, d, "conversations").withColumn("conv_id", F.when(F.col("conv_id") % 6 == 1, F.col("conv_id") * 1000 + F.col("turn")).otherwise(F.col("conv_id")))
     c = grouped(rows, F.when((F.col("conv_id") % 4 == 2) & (F.col("turn") == 1), F.lit(" \n")).otherwise(F.col("text")))
     return c.withColumn("id", F.when(F.col("ord") % 10 == 3, F.lit(" ")).otherwise(F.col("id")))
 
 
-FAULTY = """f AS (SELECT conv_id, turn, role, CASE WHEN conv_id % 4 = 2 AND turn = 1 THEN ' ' ELSE text END AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations WHERE NOT (conv_id % 6 = 1 AND turn > 0)),
+FAULTY = """r0 AS (SELECT CASE WHEN conv_id % 6 = 1 THEN conv_id * 1000 + turn ELSE conv_id END AS conv_id, turn, role, text FROM conversations),
+  f AS (SELECT conv_id, turn, role, CASE WHEN conv_id % 4 = 2 AND turn = 1 THEN ' ' ELSE text END AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM r0),
   e AS (SELECT conv_id, 0 AS k, 0 AS j, 'Conversation ID is null, empty or missing.' AS error FROM (SELECT DISTINCT conv_id FROM f) WHERE conv_id % 10 = 3
     UNION ALL SELECT conv_id, 1, 0, 'Conversation has fewer than 2 messages (got ' || count(*) || ').' FROM f GROUP BY conv_id HAVING count(*) < 2
     UNION ALL SELECT conv_id, 2 + i, 0, 'Message at index ' || i || ' has invalid role: ''' || role || '''.' FROM f WHERE role NOT IN ('user', 'assistant')
@@ -430,7 +443,7 @@ def a03(spark, d):
     return stats.turn_stats(plain(spark, d))
 
 
-@query("a04_lengths", "SELECT avg(length(text)) FILTER (WHERE role = 'user') AS avg_user, avg(length(text)) FILTER (WHERE role = 'assistant') AS avg_assistant, max(length(text)) AS max_length FROM conversations WHERE role <> 'system'")
+@query("a04_lengths", "SELECT avg(length(text)) FILTER (WHERE role = 'user') AS avg_user, avg(length(text)) FILTER (WHERE role = 'assistant') AS avg_assistant, max(length(text)) AS max_length FROM talk")
 def a04(spark, d):
     return stats.length_stats(plain(spark, d))
 
@@ -440,7 +453,7 @@ def a05(spark, d):
     return stats.context_distribution(plain(spark, d))
 
 
-FUNNEL = f"WITH {FAULTY}, c AS (SELECT conv_id, 's' || (conv_id % 3) AS dataset FROM conversations), bad AS (SELECT DISTINCT conv_id FROM e), k AS (SELECT DISTINCT conv_id, dataset FROM c), x AS (SELECT 'Loaded' AS stage, 0 AS s, dataset, count(*) AS n FROM c GROUP BY ALL UNION ALL SELECT 'Parsed', 1, dataset, count(*) FROM k GROUP BY ALL UNION ALL SELECT 'Filtered', 2, dataset, count(*) FROM k WHERE conv_id NOT IN (SELECT conv_id FROM bad) GROUP BY ALL), y AS (SELECT stage, s, dataset, n FROM x UNION ALL SELECT stage, s, 'Total', CAST(sum(n) AS BIGINT) FROM x GROUP BY stage, s)"
+FUNNEL = f"WITH {FAULTY}, c AS (SELECT conv_id, 's' || (conv_id % 3) AS dataset FROM conversations), bad AS (SELECT DISTINCT conv_id FROM e), k AS (SELECT DISTINCT conv_id, 's' || (conv_id % 3) AS dataset FROM f), x AS (SELECT 'Loaded' AS stage, 0 AS s, dataset, count(*) AS n FROM c GROUP BY ALL UNION ALL SELECT 'Parsed', 1, dataset, count(*) FROM k GROUP BY ALL UNION ALL SELECT 'Filtered', 2, dataset, count(*) FROM k WHERE conv_id NOT IN (SELECT conv_id FROM bad) GROUP BY ALL), y AS (SELECT stage, s, dataset, n FROM x UNION ALL SELECT stage, s, 'Total', CAST(sum(n) AS BIGINT) FROM x GROUP BY stage, s)"
 
 
 @query("a11_funnel", FUNNEL + " SELECT stage, dataset, n, CASE WHEN lag(n) OVER w > 0 THEN (lag(n) OVER w - n) / (lag(n) OVER w)::DOUBLE * 100.0 END AS loss_percent FROM y WINDOW w AS (PARTITION BY dataset ORDER BY s)")
@@ -454,7 +467,7 @@ def a11(spark, d):
     return stats.stage_losses(rows).select("stage", "dataset", "n", "loss_percent")
 
 
-COUNTED = "t AS (SELECT conv_id, sum(length(regexp_replace(role || ':' || text, '\\s', '', 'g'))) AS tokens, count(*) AS turns FROM conversations WHERE role <> 'system' GROUP BY 1)"
+COUNTED = "t AS (SELECT conv_id, sum(length(regexp_replace(role || ':' || text, '\\s', '', 'g'))) AS tokens, count(*) AS turns FROM talk GROUP BY 1)"
 
 
 def counted(spark: SparkSession, d: str) -> DataFrame:
@@ -503,21 +516,30 @@ def i04(spark, d):
     return inspect.message_stats(read(spark, d, "documents"))[1]
 
 
-@query("i05_nulls", "SELECT 'missing' AS \"check\", c AS \"column\", n FROM (SELECT unnest(['event_id','props','value']) AS c, unnest([count(*) FILTER (WHERE event_id IS NULL), count(*) FILTER (WHERE event_id % 3 = 0 OR props IS NULL), count(*) FILTER (WHERE event_id % 7 = 0 OR value IS NULL)]) AS n FROM events)")
+def quality_sql(table: str, columns: list[str], texts: list[str]) -> str:
+    stripped = "length(trim({c}, ' '||chr(9)||chr(10)||chr(13)))"
+    checks = [("missing", c, f"{c} IS NULL") for c in columns]
+    for c in texts:
+        n = stripped.format(c=c)
+        checks += [("empty", c, f"{n} = 0"), ("long", c, f"length({c}) > 5000"), ("short", c, f"{n} BETWEEN 1 AND 9")]
+    return " UNION ALL ".join(f"SELECT '{check}' AS \"check\", '{c}' AS \"column\", count(*) FILTER (WHERE {when}) AS n FROM {table}" for check, c, when in checks)
+
+
+@query("i05_nulls", "WITH e AS (SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 7 <> 0 THEN value END AS value, CASE WHEN event_id % 3 <> 0 THEN props END AS props FROM events) " + quality_sql("e", ["event_id", "ts", "user_id", "event_type", "value", "props"], ["event_type", "props"]))
 def i05(spark, d):
-    e = read(spark, d, "events").select("event_id", F.when(F.col("event_id") % 3 != 0, F.col("props")).alias("props"), F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("value"))
-    return inspect.quality_counts(e).where(F.col("check") == "missing")
+    e = read(spark, d, "events").withColumn("props", F.when(F.col("event_id") % 3 != 0, F.col("props"))).withColumn("value", F.when(F.col("event_id") % 7 != 0, F.col("value")))
+    return inspect.quality_counts(e)
 
 
-@query("i07_extremes", "SELECT unnest(['empty','long','short']) AS \"check\", 'text' AS \"column\", unnest([count(*) FILTER (WHERE doc_id % 9 = 0), count(*) FILTER (WHERE doc_id % 9 <> 0 AND length(text) > 5000), count(*) FILTER (WHERE doc_id % 9 <> 0 AND length(trim(text, ' '||chr(9)||chr(10)||chr(13))) BETWEEN 1 AND 9)]) AS n FROM documents")
+@query("i07_extremes", "WITH d AS (SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN '  ' || chr(10) ELSE text END AS text, lang, CASE WHEN doc_id % 5 > 0 THEN source END AS source, n_chars FROM documents) " + quality_sql("d", ["doc_id", "text", "lang", "source", "n_chars"], ["text", "lang", "source"]))
 def i07(spark, d):
-    docs = read(spark, d, "documents").select("doc_id", F.when(F.col("doc_id") % 9 == 0, F.lit("  \n")).otherwise(F.col("text")).alias("text"))
-    return inspect.quality_counts(docs).where("`column` = 'text' and `check` <> 'missing'")
+    docs = read(spark, d, "documents").withColumn("text", F.when(F.col("doc_id") % 9 == 0, F.lit("  \n")).otherwise(F.col("text"))).withColumn("source", F.when(F.col("doc_id") % 5 > 0, F.col("source")))
+    return inspect.quality_counts(docs)
 
 
-@query("i08_dup_rows", "WITH l AS (SELECT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax, count(*) AS n FROM lineitem GROUP BY ALL) SELECT CAST(sum(n - 1) AS BIGINT) AS n FROM l")
+@query("i08_dup_rows", "SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS BIGINT) AS n FROM lineitem")
 def i08(spark, d):
-    return inspect.duplicate_rows(read(spark, d, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax"))
+    return inspect.duplicate_rows(read(spark, d, "lineitem"))
 
 
 @query("i09_dup_ids", "SELECT unnest(['event_id','user_id']) AS \"column\", unnest([count(event_id) - count(DISTINCT event_id), count(user_id) - count(DISTINCT user_id)]) AS n FROM events")
@@ -528,7 +550,7 @@ def i09(spark, d):
 # --- output ---
 
 
-@query("f01_chat", "SELECT conv_id AS ord, '{\"messages\": [{\"role\": \"system\", \"content\": \"Be kind.\"}, ' || string_agg('{\"role\": ' || to_json(role) || ', \"content\": ' || to_json(text) || '}', ', ' ORDER BY turn) || ']}' AS line FROM conversations WHERE role <> 'system' GROUP BY 1")
+@query("f01_chat", "SELECT conv_id AS ord, '{\"messages\": [{\"role\": \"system\", \"content\": \"Be kind.\"}, ' || string_agg('{\"role\": ' || to_json(role) || ', \"content\": ' || to_json(text) || '}', ', ' ORDER BY turn) || ']}' AS line FROM talk GROUP BY 1")
 def f01(spark, d):
     return curate.chat_record(plain(spark, d), " Be kind.\n").select("ord", sinks.spaced_json(F.col("messages")).alias("line"))
 
@@ -553,10 +575,10 @@ def f02(spark, d):
     return placed.select("id", "source", "place", F.when(F.col("place") < cut, F.lit("train")).otherwise(F.lit("validation")).alias("part"), F.size("messages").cast("long").alias("turns"))
 
 
-E2E = f"""WITH {DIRTY_ROWS}, c AS (SELECT conv_id, turn, role, {CLEAN} AS content FROM d), l AS (SELECT *, turn AS run FROM c WHERE content <> ''),
-  k AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM l), j AS (SELECT * FROM k WHERE NOT (p = 1 AND role = 'assistant')),
-  t AS (SELECT *, max(CASE WHEN role = 'assistant' AND length(content) >= 120 THEN turn END) OVER (PARTITION BY conv_id) AS cut FROM j)
-  SELECT conv_id AS ord, 's' || (conv_id % 3) AS source, count(*) AS turns, CAST(sum(length(content)) AS BIGINT) AS chars FROM t WHERE turn <= cut GROUP BY conv_id HAVING count(*) >= 2 AND count(*) FILTER (WHERE role = 'assistant') > 0
+E2E = f"""WITH {DIRTY_ROWS}, c AS (SELECT conv_id, turn, role, {CLEAN} AS content FROM d), l AS (SELECT *, CASE WHEN role IS DISTINCT FROM lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 1 ELSE 0 END AS new FROM c WHERE content <> ''),
+  g AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM l), m AS (SELECT conv_id, run, any_value(role) AS role, string_agg(content, chr(10)||chr(10) ORDER BY turn) AS content FROM g GROUP BY 1, 2),
+  j AS (SELECT * FROM m WHERE NOT (run = 1 AND role = 'assistant')), t AS (SELECT *, max(CASE WHEN role = 'assistant' AND length(content) >= 120 THEN run END) OVER (PARTITION BY conv_id) AS cut FROM j)
+  SELECT conv_id AS ord, 's' || (conv_id % 3) AS source, count(*) AS turns, CAST(sum(length(content)) AS BIGINT) AS chars FROM t WHERE run <= cut GROUP BY conv_id HAVING count(*) >= 2 AND count(*) FILTER (WHERE role = 'assistant') > 0
   AND count(*) FILTER (WHERE role = 'assistant' AND length(content) < 120) / count(*) FILTER (WHERE role = 'assistant') <= 0.5"""
 
 
