@@ -111,10 +111,14 @@ def cheap_reason(messages: Column, min_messages: int = 2, min_chars: int = 40, m
 
 
 def echo_pairs(df: DataFrame, key: str = "ord") -> DataFrame:
-    """(key, user, assistant), normalised: assistant turns behind a user turn, neither empty."""
+    """(key, user, assistant), normalised: assistant turns behind a user turn, neither empty.
+
+    The outer explode infers no filter, and a filter on what it gives stays above it: below, it would repeat the whole
+    expression behind ``messages`` for every mention. Null messages give no pairs.
+    """
     pairs = F.transform("messages", lambda m, i: F.struct(F.get(F.col("messages"), i - 1).alias("before"), m.alias("now")))
     near = F.filter(pairs, lambda p: (p["now"]["role"] == "assistant") & (p["before"]["role"] == "user"))
-    p = df.select(key, F.explode(near).alias("p")).select(key, X.normalise_for_echo(F.col("p.before.content")).alias("user"), X.normalise_for_echo(F.col("p.now.content")).alias("assistant"))
+    p = df.select(key, F.explode_outer(near).alias("p")).select(key, X.normalise_for_echo(F.col("p.before.content")).alias("user"), X.normalise_for_echo(F.col("p.now.content")).alias("assistant"))
     return p.where("user <> '' and assistant <> ''")
 
 
@@ -135,7 +139,7 @@ def echoes(df: DataFrame, threshold: float = 0.8, key: str = "ord") -> DataFrame
 def quality_reasons(df: DataFrame, min_messages: int = 2, min_chars: int = 40, max_short_ratio: float = 0.5, echo_threshold: float = 0.8, key: str = "ord") -> DataFrame:
     """Adds ``reason``: the first violated rule, or null (Q07). Echoes are looked for only among what the other rules pass."""
     first = df.withColumn("reason", cheap_reason(F.col("messages"), min_messages, min_chars, max_short_ratio))
-    found = echoes(first.where("reason is null"), echo_threshold, key).select(F.col(key).alias("_echo"))
+    found = echoes(first.withColumn("messages", F.when(F.col("reason").isNull(), F.col("messages"))), echo_threshold, key).select(F.col(key).alias("_echo"))
     joined = first.join(found, F.col(key) == F.col("_echo"), "left")
     return joined.withColumn("reason", F.coalesce("reason", F.when(F.col("_echo").isNotNull(), F.lit(RULES[4])))).drop("_echo")
 
