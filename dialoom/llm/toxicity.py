@@ -289,10 +289,15 @@ def _score(parts):
 
 
 def logistic(rows: list[np.ndarray], labels: np.ndarray, width: int, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression over present features by full-batch Adam, penalty half the squared weights; the intercept is free of it."""
+    """Logistic regression over present features by full-batch Adam, penalty half the squared weights; the intercept is free of it.
+
+    Gradients are summed over blocks of rows, so beside the rows themselves only one block's numbers are held.
+    """
     l2 = 1 / max(1, len(rows))
-    who = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    which = np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int64)
+    sizes = np.array([len(r) for r in rows], np.int64)
+    which = np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int32)
+    ends = np.cumsum(sizes)
+    blocks = [(at, min(at + 4096, len(rows))) for at in range(0, len(rows), 4096)]
     y = labels.astype(np.float64)
     share = (y.sum() + 1) / (len(y) + 2)
     w, b = np.zeros(width), math.log(share / (1 - share))
@@ -301,9 +306,15 @@ def logistic(rows: list[np.ndarray], labels: np.ndarray, width: int, rounds: int
     m = np.zeros(width + 1)
     v = np.zeros(width + 1)
     for step in range(1, rounds + 1):
-        p = 1 / (1 + np.exp(-np.clip(b + np.bincount(who, w[which], len(rows)), -40, 40)))
-        err = (p - y) / len(y)
-        g = np.r_[np.bincount(which, err[who], width) + l2 * w, err.sum()]
+        g = np.zeros(width + 1)
+        for first, last in blocks:
+            here = which[ends[first] - sizes[first] : ends[last - 1]]
+            who = np.repeat(np.arange(last - first), sizes[first:last])
+            p = 1 / (1 + np.exp(-np.clip(b + np.bincount(who, w[here], last - first), -40, 40)))
+            err = (p - y[first:last]) / len(y)
+            g[:-1] += np.bincount(here, err[who], width)
+            g[-1] += err.sum()
+        g[:-1] += l2 * w
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
@@ -340,9 +351,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS):
     gain = 2 * (cell(a) + cell(b) + cell(t - a) + cell(n - t - b) + cell(F.lit(n)) - cell(a + b) - cell(n - a - b) - cell(F.lit(t)) - cell(F.lit(n - t)))
     best = counted.where("toxic + clean >= 3").withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).select("feature").collect()
     chosen = np.array(sorted(r["feature"] for r in best), np.int64)
-    found = train.mapInArrow(_find(spark.sparkContext.broadcast((model, chosen))), "hits binary, toxic long").collect()
-    rows = [np.frombuffer(r["hits"], np.int32) for r in found]
-    weights, bias = logistic(rows, np.array([r["toxic"] for r in found], np.int64), len(chosen))
+    found = train.mapInArrow(_find(spark.sparkContext.broadcast((model, chosen))), "hits binary, toxic long")
+    hits, marks = [], []
+    for r in cut_lineage(found).toLocalIterator():  # one task's rows at a time
+        hits.append(np.frombuffer(r["hits"], np.int32))
+        marks.append(r["toxic"])
+    weights, bias = logistic(hits, np.array(marks, np.int64), len(chosen))
     return model, chosen, weights, bias
 
 
