@@ -50,6 +50,18 @@ def test_units_give_the_tokenizer_s_ids(text):
     assert ids.encode(text)[0].tolist() == ids.tokenizer.encode(text, add_special_tokens=False).ids + [1]
 
 
+def test_ids_of_whole_texts_and_many_strings(spark):
+    """Both encoders against the tokenizer itself: every document of a table, and strings of likely troublemakers."""
+    ids = P.Ids(P.tokenizer_path())
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    rng, signs = random.Random(9), ["  ", " ", "\n", "\t", "'s", "'LL", "12", "3", ".", "...", "word", "Wörd", "é", "漢", "<", "|>", "_", "-", "\u00a0", "\u200b", "ABC", "a"]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(20_000)]
+    for at in range(0, len(texts), 2000):
+        part = texts[at : at + 2000]
+        for text, want in zip(part, ids.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            assert ids.encode(text)[0].tolist() == want.ids + [1]
+
+
 def brute(places, penalties, window):
     best, back = [0.0] + [float("inf")] * (len(places) - 1), [0] * len(places)
     for j in range(1, len(places)):
