@@ -1,4 +1,4 @@
-"""Exact deduplication of conversations, first one wins."""
+"""Exact deduplication of conversations, first one wins."""
 
 from __future__ import annotations
 

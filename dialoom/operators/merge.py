@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import MergeError, MergeReport
+from ..schemas import MergeError, MergeReport, StatisticsReport
 
 
 def collisions(df: DataFrame) -> DataFrame:
@@ -41,3 +41,8 @@ def merge_report(df: DataFrame) -> MergeReport:
     rows = contributions(df).orderBy("first_ord").collect()
     order = df.groupBy(F.shiftright("ord", 40).alias("d")).agg(F.min_by("source", "ord").alias("source")).orderBy("d").collect()
     return MergeReport(sum(r["n"] for r in rows), {r["source"]: r["n"] for r in rows}, [r["source"] for r in order])
+
+
+def refreshed(report: MergeReport, kept: StatisticsReport) -> MergeReport:
+    """The merge report after dedup (D06): counts of what was kept, from its statistics; the datasets' order stays."""
+    return MergeReport(kept.total_conversations, dict(kept.conversations_per_dataset), list(report.dataset_order))

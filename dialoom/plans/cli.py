@@ -8,6 +8,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from ..functions.udfs import bpe_counter
 from ..operators import inspect as profile
 from ..operators import parse, tokens
 from ..sources import sinks
@@ -46,6 +47,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("input")
     s.add_argument("output")
     s.add_argument("--model-id", default="characters")
+    s.add_argument("--tokenizer", help="file of a published byte-level vocabulary, or 'byte_bpe' for the installed one; characters are counted without")
     return p
 
 
@@ -85,7 +87,8 @@ def _run(a: argparse.Namespace, spark: SparkSession | None) -> int:
         n = pipeline.simple_export(rows, a.split_ratio, a.seed, f"{a.output}/train.jsonl", f"{a.output}/validation.jsonl")
         print(f"train: {n[0]}, validation: {n[1]}")
     else:
-        t = tokens.token_report(tokens.token_counts(read_chat_jsonl(spark, a.input)))
+        counter = tokens.char_count if a.tokenizer is None else bpe_counter(None if a.tokenizer == "byte_bpe" else a.tokenizer)
+        t = tokens.token_report(tokens.token_counts(read_chat_jsonl(spark, a.input), counter=counter))
         sinks.write_json(t.to_dict(), f"{a.output}/token_statistics.json")
         sinks.write_text(reports.token_md(t, a.model_id), f"{a.output}/token_statistics.md")
         print(reports.token_console(t))

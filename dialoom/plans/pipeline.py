@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import curate, dedup, merge, normalize, parse, sample, stats, validate
@@ -17,6 +18,7 @@ from ..sources.config import load_yaml
 from ..sources.readers import read_splits, read_system_prompt, select_split, with_row_index
 from . import reports
 
+log = logging.getLogger("dialoom")
 # The fields of a pipeline configuration.
 FIELDS = ("datasets", "split", "validation", "sampling", "outputs", "dataset_version")
 OUTPUTS = (
@@ -210,15 +212,15 @@ def prepare(spark: SparkSession, config: dict, catalog: Catalog) -> tuple[list[D
     valid, every, counts = [], [], []
     for k, (entry, parser, normalizer) in enumerate(resolve(config, catalog)):
         rows = load_rows(spark, entry, config["split"])
-        parsed = parser(rows, entry.dataset_id, config["split"])
-        ok, _ = normalize.split_quarantine(normalizer(parse.accepted(parsed), k))
+        seen = Observation()
+        parsed = parse.accepted(parser(rows, entry.dataset_id, config["split"])).observe(seen, F.count(F.lit(1)).alias("n"))
+        ok, _ = normalize.split_quarantine(normalizer(parsed, k))
         checked = validate.validated(ok).persist()
         kept, _ = validate.filter_valid(checked)
         valid.append(kept)
         every.append(checked)
-        parsed_n = parse.accepted(parsed).count()
-        n = validate.validation_counts(checked).first()
-        steps = (rows.count(), parsed_n, n["num_checked"], n["num_checked"], n["num_valid"])
+        n = validate.validation_counts(checked).first()  # fills what is held, and counts what was parsed on the way
+        steps = (rows.count(), seen.get["n"], n["num_checked"], n["num_checked"], n["num_valid"])
         counts += [{"stage": s, "dataset": entry.dataset_id, "n": v} for s, v in zip(stats.STAGES, steps, strict=False)]
     return valid, every, counts
 
@@ -229,6 +231,7 @@ def run_pipeline(spark: SparkSession, config: dict, catalog: Catalog) -> tuple[d
     valid, _, _ = prepare(spark, config, catalog)
     merged = merge.merge(valid).persist()
     before = sinks.export_canonical(merged, out["canonical_dataset_jsonl"])
+    contributed = merge.merge_report(merged)
     kept, removed = dedup.deduplicate(merged)
     kept = kept.persist()
     listed = [r.asDict() for r in removed.orderBy("ord").drop("ord").toLocalIterator()]
@@ -238,6 +241,8 @@ def run_pipeline(spark: SparkSession, config: dict, catalog: Catalog) -> tuple[d
     sinks.write_json(reports.duplicate_json(manifest, listed), out["duplicate_report_json"])
     sinks.write_text(reports.duplicate_md(manifest, listed), out["duplicate_report_md"])
     s = stats.statistics(kept)
+    contributed = merge.refreshed(contributed, s)
+    log.info("after dedup %d conversations: %s", contributed.total_conversations, contributed.dataset_counts)
     sinks.write_json(s.to_dict(), out["statistics_json"])
     sinks.write_text(reports.statistics_md(s), out["statistics_md"])
     shown = [r.asDict(recursive=True) for r in sample.review_sample(kept, config["sampling"]["sample_size"], config["sampling"]["seed"]).collect()]

@@ -156,7 +156,8 @@ def d05(spark, d):
 @query("d06_merge_report", f"{COPIES} SELECT source, count(*) AS n FROM k WHERE doc_id = kept GROUP BY 1")
 def d06(spark, d):
     """The merge report counted anew on what dedup has kept."""
-    report = merge.merge_report(dedup.deduplicate(as_conversations(spark, d))[0])
+    rows = as_conversations(spark, d)
+    report = merge.refreshed(merge.merge_report(rows), stats.statistics(dedup.deduplicate(rows)[0]))
     return spark.createDataFrame(list(report.dataset_counts.items()), "source string, n long")
 
 

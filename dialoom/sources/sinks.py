@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -30,8 +30,9 @@ def write_lines(df: DataFrame, path: str, order: str = "ord", single_file: bool
     """
     lines = df.select(order, "line")
     if not single_file:
-        lines.orderBy(order).select("line").write.mode("overwrite").text(path)
-        return df.count()
+        seen = Observation()
+        lines.orderBy(order).observe(seen, F.count(F.lit(1)).alias("n")).select("line").write.mode("overwrite").text(path)
+        return seen.get["n"]
     Path(path).parent.mkdir(parents=True, exist_ok=True)
     n = 0
     with open(path, "w", encoding="utf-8") as f:
