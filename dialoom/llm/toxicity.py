@@ -38,7 +38,8 @@ FEATURE_BITS = 20
 #: Features with a smaller log-likelihood ratio against the label tell nothing.
 LEAST_GAIN = 12.0
 THRESHOLD = 0.3
-CACHE = 400_000
+#: Tokens whose reading a task keeps; their number bounds its memory.
+CACHE = 150_000
 
 #: What a sign may stand for besides itself.
 LOOKS_LIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "£": "l"}
@@ -154,16 +155,19 @@ class Reader:
         self.model = model
         self.kept: dict[str, tuple[str, ...]] = {}
 
+    def words_in(self, token: str) -> set[str]:
+        core = EDGE.sub("", MARKS.sub(r"\1", token))
+        words = set()
+        if core:
+            words.add(restore(core, self.model) if looks_disguised(core) else core)
+            if not core.isalpha():
+                words.update(p for p in PARTS.split(core) if p.isalpha())  # words joined by marks
+        return words - {""}
+
     def words_of(self, token: str) -> tuple[str, ...]:
         found = self.kept.get(token)
         if found is None:
-            core = EDGE.sub("", MARKS.sub(r"\1", token))
-            words = set()
-            if core:
-                words.add(restore(core, self.model) if looks_disguised(core) else core)
-                if not core.isalpha():
-                    words.update(p for p in PARTS.split(core) if p.isalpha())  # words joined by marks
-            found = tuple(words - {""})
+            found = tuple(self.words_in(token))
             if len(self.kept) >= CACHE:
                 self.kept.clear()
             self.kept[token] = found
@@ -252,7 +256,7 @@ class Scorer:
         for token in tokens:
             hit = self.kept.get(token)
             if hit is None:
-                hit = tuple({k for word in self.reader.words_of(token) for k in self.hit(word)})
+                hit = tuple({k for word in self.reader.words_in(token) for k in self.hit(word)})
                 if len(self.kept) >= CACHE:
                     self.kept.clear()
                 self.kept[token] = hit
