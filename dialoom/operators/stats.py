@@ -66,10 +66,10 @@ def stage_losses(counts: DataFrame) -> DataFrame:
 
 
 def error_breakdown(checked: DataFrame) -> DataFrame:
-    """(category, n, percent, first_ord) of all errors (A12); ids are not made distinct."""
+    """(category, n, percent, first_ord, first_pos) of all errors (A12); ids are not made distinct. Ties in n fall by first appearance."""
     errors = checked.select("ord", F.posexplode("errors").alias("pos", "error")).withColumn("category", error_category(F.col("error")))
     out = errors.groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ord", "pos")).alias("first"))
-    return out.select("category", "n", (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy(F.lit(1)))).alias("percent"), F.col("first.ord").alias("first_ord"))
+    return out.select("category", "n", (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy(F.lit(1)))).alias("percent"), F.col("first.ord").alias("first_ord"), F.col("first.pos").alias("first_pos"))
 
 
 def error_examples(checked: DataFrame, most: int = 10) -> DataFrame:

@@ -280,7 +280,7 @@ def failing_ids(checked: DataFrame) -> dict[str, list[str]]:
 
 def write_audit(losses: DataFrame, checked: DataFrame, audit_path: str, breakdown_path: str, examples_dir: str) -> None:
     sinks.write_text(reports.audit_md([r.asDict() for r in losses.collect()]), audit_path)
-    categories = [r.asDict() for r in stats.error_breakdown(checked).orderBy(F.desc("n"), "first_ord").collect()]
+    categories = [r.asDict() for r in stats.error_breakdown(checked).orderBy(F.desc("n"), "first_ord", "first_pos").collect()]
     sinks.write_text(reports.breakdown_md(categories, failing_ids(checked)), breakdown_path)
     chosen = stats.error_examples(checked).select("category", "rn", F.col("ord").alias("_o"))
     rows = checked.join(chosen, F.col("ord") == F.col("_o")).orderBy("category", "rn").collect()

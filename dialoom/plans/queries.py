@@ -380,7 +380,7 @@ def v03(spark, d):
 
 @query("v06_categories", f"WITH {FAULTY} SELECT category, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS percent, min(conv_id) AS first_ord FROM h GROUP BY 1")
 def v06(spark, d):
-    return stats.error_breakdown(validate.validated(faulty(spark, d)))
+    return stats.error_breakdown(validate.validated(faulty(spark, d))).drop("first_pos")
 
 
 @query("a13_error_examples", f"WITH {FAULTY}, x AS (SELECT category, CASE WHEN conv_id % 10 = 3 THEN ' ' ELSE 'conv_' || conv_id END AS id, min(conv_id) AS ord FROM h GROUP BY 1, 2), y AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY ord) AS rn FROM x) SELECT category, CAST(rn AS INTEGER) AS rn, ord, id FROM y WHERE rn <= 10")

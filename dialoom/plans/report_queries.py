@@ -291,14 +291,14 @@ def r04(spark, d):
     return one_text(spark, reports.audit_md([r.asDict() for r in stats.stage_losses(staged(spark, d)).collect()]))
 
 
-BREAKDOWN = f"""WITH {FAULTY}, i AS (SELECT h.*, CASE WHEN conv_id % 10 = 3 THEN ' ' ELSE 'conv_' || conv_id END AS id FROM h), g AS (SELECT category, count(*) AS n, min(conv_id) AS first, count(*) * 100.0 / (SELECT count(*) FROM h) AS p, string_agg('  - `' || id || '`', {LF} ORDER BY conv_id, k, j) AS ids FROM i GROUP BY 1)"""
+BREAKDOWN = f"""WITH {FAULTY}, i AS (SELECT h.*, CASE WHEN conv_id % 10 = 3 THEN ' ' ELSE 'conv_' || conv_id END AS id FROM h), g AS (SELECT category, count(*) AS n, min(conv_id * 1000000 + k * 10 + j) AS first, count(*) * 100.0 / (SELECT count(*) FROM h) AS p, string_agg('  - `' || id || '`', {LF} ORDER BY conv_id, k, j) AS ids FROM i GROUP BY 1)"""
 
 
 @query("r05_breakdown", f"""{BREAKDOWN} SELECT {text_sql("'# Validation Failures Breakdown Report'", "''", "'This report analyzes the distribution of validation failures across the dataset.'", "''", "'## Summary of Validation Error Categories'", "''", "'| Error Category | Failures Count | % of All Failures |'", "'| :--- | :---: | :---: |'", f"(SELECT string_agg('| ' || category || ' | ' || n || ' | ' || printf('%.2f', p) || '% |', {LF} ORDER BY n DESC, first) FROM g)", "''", "'## Detailed Conversations Breakdown per Category'", "''",
   f"(SELECT string_agg('### Category: ' || category || {LF} || '- **Total Failures**: ' || n || {LF} || '- **Failing Conversation IDs**:' || {LF} || ids || {LF}, {LF} ORDER BY n DESC, first) FROM g)")} AS report""")
 def r05(spark, d):
     checked = validate.validated(faulty(spark, d))
-    categories = [r.asDict() for r in stats.error_breakdown(checked).orderBy(F.desc("n"), "first_ord").collect()]
+    categories = [r.asDict() for r in stats.error_breakdown(checked).orderBy(F.desc("n"), "first_ord", "first_pos").collect()]
     return one_text(spark, reports.breakdown_md(categories, pipeline.failing_ids(checked)))
 
 

@@ -7,6 +7,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
+from dialoom.plans import report_queries  # noqa: F401  adds to the same tables
 from dialoom.plans.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
