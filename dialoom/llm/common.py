@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 
@@ -75,6 +76,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of shuffle files and checkpoints that no frame refers to any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def numbered(df: DataFrame, name: str, within: list[str], order: list[Column], spread: list[Column], buckets: int = NUMBER_BUCKETS, weight: str | None = None) -> DataFrame:
     """Adds gapless numbers from 0 within each group of ``within``, in order of the bucket, then of ``order``; of ``weight``, its running sum before each row.
 

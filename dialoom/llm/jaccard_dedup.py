@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, cut_lineage, majority, most_frequent, shingle_hashes
+from .common import connected_components, cut_lineage, majority, most_frequent, release, shingle_hashes
 
 SHINGLE = 5
 #: The similarity as a fraction of whole numbers, so that no rounding decides a pair.
@@ -33,6 +33,8 @@ SIMILAR = (4, 5)
 COMMON = 1 << 17
 #: Leaders are tried again while more pairs than this for each meeting are left to compare.
 ROUNDS, PAIRS_EACH = 4, 2
+#: Bytes of a shingle's hash that travel: two texts of 1,000 shingles have one falsely in common once in a million pairs.
+SENT = 5
 #: Size of the filter that keeps texts without candidates out of a shuffle: 4 MB, whatever the number of candidates.
 FILTER_BITS = 25
 
@@ -125,15 +127,27 @@ def _meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield held.slice(1)
 
 
+def packed_set(hashes: np.ndarray) -> bytes:
+    """The set by SENT of each hash's bytes, which is what sets are compared by."""
+    return np.unique(hashes & np.uint64((1 << 8 * SENT) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    parts = np.frombuffer(data, np.uint8).reshape(-1, SENT)
+    whole = np.zeros((len(parts), 8), np.uint8)
+    whole[:, :SENT] = parts
+    return whole.reshape(-1).view("<u8")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([shingle_set(t).tobytes() for t in _texts(batch)], pa.binary())], ["node", "hashes"])
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([packed_set(shingle_set(t)) for t in _texts(batch)], pa.binary())], ["node", "hashes"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist()
-        yield batch.select(["a", "b"]).filter(pa.array([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(a, b, strict=True)], pa.bool_()))
+        yield batch.select(["a", "b"]).filter(pa.array([similar(unpacked_set(x), unpacked_set(y)) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
 
 def _key(doc_id: str, text_hash: str) -> Column:
@@ -170,9 +184,10 @@ def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame) -> DataFrame
     among = _among(there.select(_key("_id", "_h").alias("key")))
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__h"), F.col("text").alias("_text")).where(among(_key("__id", "__h")))
     sets = texts.join(there, F.col("__id").eqNullSafe(F.col("_id")) & (F.col("__h") == F.col("_h"))).select("node", "_text").mapInArrow(_sets, "node long, hashes binary")
-    sets = cut_lineage(sets.dropDuplicates(["node"]))
+    sets = cut_lineage(sets)
     side = lambda x: sets.select(F.col("node").alias(x), F.col("hashes").alias(f"set_{x}"))
-    return cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_verify, "a long, b long"))
+    # Rows that repeat an id and text give a set more than once, and so a link.
+    return cut_lineage(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(_verify, "a long, b long").distinct())
 
 
 def _possible(joined: DataFrame) -> DataFrame:
@@ -204,6 +219,7 @@ def near_links(prints: DataFrame, docs: DataFrame, proposed: DataFrame) -> DataF
     meets = rare.unionByName(rows("common", F.size("rare"))).dropDuplicates(["token", "node"])
     links = _verified(proposed, prints, docs)
     meets = _with_roots(meets.select("token", "node", "n", "i"), links)
+    release(docs.sparkSession)
     for k in range(ROUNDS):
         by_root = meets.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
         left = by_root.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs"), F.sum("k").alias("k")).first()
@@ -213,6 +229,7 @@ def near_links(prints: DataFrame, docs: DataFrame, proposed: DataFrame) -> DataF
         lead = lead.where("low < high").select("token", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "n", "i", "root")])
         links = links.unionByName(_verified(_possible(meets.join(lead, "token").where("root <> l_root")), prints, docs))
         meets = _with_roots(meets, links)
+        release(docs.sparkSession)
     mixed = meets.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
     rest = meets.join(mixed, "token")
     other = rest.select("token", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "i", "root")])
