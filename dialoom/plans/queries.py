@@ -204,10 +204,20 @@ def a09(spark, d):
     return curate.quality_counts(marked).select(F.coalesce("reason", F.lit("kept")).alias("reason"), "n")
 
 
+#: Letters whose upper case is more than one letter ("ß": "SS"), and stand-ins without a case.
+LONGER = "".join(c for c in map(chr, range(0x80, 0xD800)) if len(c.upper()) > 1) + "".join(c for c in map(chr, range(0xF900, 0x10000)) if len(c.upper()) > 1)
+STAND_INS = "".join(chr(0xE000 + k) for k in range(len(LONGER)))
+
+
+def upper_each(c: Column) -> Column:
+    """Upper case letter by letter, as the SQL has it: what has no single upper-case letter stays."""
+    return F.translate(F.upper(F.translate(c, LONGER, STAND_INS)), STAND_INS, LONGER)
+
+
 def echoing(spark: SparkSession, d: str) -> DataFrame:
     """Every third conversation's assistant repeats the user, upper-cased, with a mark at the end."""
     c = plain(spark, d)
-    said = F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.when((F.col("ord") % 3 == 0) & (m["role"] == "assistant") & (i > 0), F.concat(F.upper(F.get(F.col("messages"), i - 1)["content"]), F.lit("!"))).otherwise(m["content"]).alias("content")))
+    said = F.transform("messages", lambda m, i: F.struct(m["role"].alias("role"), F.when((F.col("ord") % 3 == 0) & (m["role"] == "assistant") & (i > 0), F.concat(upper_each(F.get(F.col("messages"), i - 1)["content"]), F.lit("!"))).otherwise(m["content"]).alias("content")))
     return c.withColumn("messages", said)
 
 
