@@ -48,9 +48,9 @@ def talk(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "conversations").withColumn("role", F.when(F.col("role") == "system", F.lit("user")).otherwise(F.col("role")))
 
 
-def grouped(rows: DataFrame, text: Column, role: Column | None = None) -> DataFrame:
-    """Canonical conversations of (conv_id, turn, role, text) rows."""
-    turn = F.struct("turn", (F.col("role") if role is None else role).alias("role"), text.alias("content"))
+def grouped(rows: DataFrame, text: Column, role: Column | None = None, then: tuple[str, ...] = ()) -> DataFrame:
+    """Canonical conversations of (conv_id, turn, role, text) rows, in the order of the turn, ``then`` of these columns."""
+    turn = F.struct("turn", *then, (F.col("role") if role is None else role).alias("role"), text.alias("content"))
     c = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("t"))
     messages = F.transform("t", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     source = F.concat(F.lit("s"), (F.col("conv_id") % 3).cast("string"))
@@ -356,9 +356,12 @@ def n05(spark, d):
 
 
 def faulty(spark: SparkSession, d: str) -> DataFrame:
-    """Raw roles (system among them), some ids blank, some texts blank; of every sixth conversation each turn is one of its own."""
-    rows = read(spark, d, "conversations").withColumn("conv_id", F.when(F.col("conv_id") % 6 == 1, F.col("conv_id") * 1000 + F.col("turn")).otherwise(F.col("conv_id")))
-    c = grouped(rows, F.when((F.col("conv_id") % 4 == 2) & (F.col("turn") == 1), F.lit(" \n")).otherwise(F.col("text")))
+    """Raw roles (system among them), some ids blank, some texts blank; of every sixth conversation each turn is one of its own.
+
+    Such a turn may get the number of another conversation; of two with the same turn, the one of the lower original number comes first.
+    """
+    rows = read(spark, d, "conversations").withColumn("of", F.col("conv_id")).withColumn("conv_id", F.when(F.col("conv_id") % 6 == 1, F.col("conv_id") * 1000 + F.col("turn")).otherwise(F.col("conv_id")))
+    c = grouped(rows, F.when((F.col("conv_id") % 4 == 2) & (F.col("turn") == 1), F.lit(" \n")).otherwise(F.col("text")), then=("of",))
     return c.withColumn("id", F.when(F.col("ord") % 10 == 3, F.lit(" ")).otherwise(F.col("id")))
 
 
