@@ -3,7 +3,11 @@
 Prefix filtering: with the shingles of all texts in one order, two sets of that similarity share one of the
 first n - ceil(0.8 n) + 1 shingles of either. Any common order gives the same links; common shingles
 come last, so few texts meet at a shingle that says little. Texts that meet are candidates where their sizes
-leave the similarity possible, and a candidate counts only after its whole sets were compared.
+and sketches leave the similarity possible, and a candidate counts only after its whole sets were compared.
+
+A sketch has a bit for each of SKETCH classes of shingles: whether their number in the set is odd. A shingle that only
+one of two sets has changes one bit, so sketches differ in no more bits than the sets in shingles, and no similar
+pair is lost; unrelated texts of up to about 2,000 shingles differ in more bits than similar ones may.
 
 A group of many near copies would meet in pairs of its size squared. First every text is compared with one
 leader of each of its shingles, in rounds; then with all others that it meets and that stand in other
@@ -16,6 +20,7 @@ are equal to each other; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,12 +36,17 @@ SHINGLE = 5
 SIMILAR = (4, 5)
 #: Shingles known as common, for their order alone; what is not among them is in order of its hash.
 COMMON = 1 << 17
-#: Leaders are tried again while more pairs than this for each meeting are left to compare.
+#: Leaders are tried where more pairs than this for each meeting are left to compare, and again while a round doubles the links.
 ROUNDS, PAIRS_EACH = 4, 2
 #: Bytes of a shingle's hash that travel: two texts of 1,000 shingles have one falsely in common once in a million pairs.
 SENT = 5
 #: Size of the filter that keeps texts without candidates out of a shuffle: 4 MB, whatever the number of candidates.
 FILTER_BITS = 25
+#: Bits of a sketch, in whole longs.
+SKETCH = 1 << 10
+PARTS = [f"s{k}" for k in range(SKETCH // 64)]
+#: Longs of a folded sketch, which goes along with a text's shingles: enough for texts of up to about 500.
+FOLDED = [f"f{k}" for k in range(4)]
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
@@ -54,6 +64,19 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return both * SIMILAR[1] >= SIMILAR[0] * (len(a) + len(b) - both)
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """Of distinct hashes: whether an odd number falls into each class."""
+    odd = np.bincount((found & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _close(n: str, parts: list[str], other_n: str, other_parts: list[str]) -> Column:
+    """Whether two sketches leave the similarity possible: similar sets differ in at most (den - num) of num + den parts of both."""
+    num, den = SIMILAR
+    differing = sum((F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(parts, other_parts, strict=True)), F.lit(0))
+    return differing * (num + den) <= (F.col(n) + F.col(other_n)) * (den - num)
+
+
 def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("_text").cast(pa.binary()).to_pylist()
 
@@ -85,13 +108,14 @@ def _prefixes(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, often = common.value
         for batch in batches:
-            nodes, sizes, rare, often_met, prints = [], [], [], [], []
+            nodes, sizes, rare, often_met, prints, sketches = [], [], [], [], [], []
             for text in _texts(batch):
                 hashes = shingle_hashes(text or b"", SHINGLE)
                 prints.append(majority(hashes))
                 found = np.unique(hashes)
                 nodes.append(xxhash.xxh64_intdigest(found.tobytes()) if len(found) else 0)
                 sizes.append(len(found))
+                sketches.append(sketch(found))
                 rank = np.zeros(len(found), np.int64)
                 if len(token):
                     at = np.minimum(np.searchsorted(token, found), len(token) - 1)
@@ -99,9 +123,10 @@ def _prefixes(common):
                 first = np.lexsort((found, rank))[: prefix_size(len(found))]
                 rare.append(found[first[rank[first] == 0]].view(np.int64))
                 often_met.append(found[first[rank[first] > 0]].view(np.int64))
+            by_part = np.array(sketches, np.int64).reshape(-1, len(PARTS)).T
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), batch.column("_h"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _lists(rare), _lists(often_met), pa.array(np.array(prints, np.uint64).view(np.int64))],
-                ["_id", "_h", "node", "n", "rare", "common", "fp"],
+                [batch.column("_id"), batch.column("_h"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _lists(rare), _lists(often_met), pa.array(np.array(prints, np.uint64).view(np.int64)), *[pa.array(np.ascontiguousarray(x)) for x in by_part]],
+                ["_id", "_h", "node", "n", "rare", "common", "fp", *PARTS],
             )
 
     return run
@@ -150,11 +175,11 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array([similar(unpacked_set(x), unpacked_set(y)) for x, y in zip(a, b, strict=True)], pa.bool_()))
 
 
-def _key(doc_id: str, text_hash: str) -> Column:
+def key_of(doc_id: str, text_hash: str) -> Column:
     return F.xxhash64(doc_id, text_hash)
 
 
-def _among(keys: DataFrame):
+def among_keys(keys: DataFrame):
     """A test whether a key may be among ``keys`` (key long): a filter of FILTER_BITS bits that misses none, whatever their number."""
     mask = (1 << FILTER_BITS) - 1
     places = keys.select(F.explode(F.array(F.col("key").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(mask)))).alias("p"))
@@ -176,13 +201,30 @@ def _among(keys: DataFrame):
     return among
 
 
+def _sketches(prints: DataFrame) -> DataFrame:
+    """(node, n, PARTS), once for each set."""
+    return prints.select("node", "n", *PARTS).dropDuplicates(["node"])
+
+
+def _folded(prints: DataFrame) -> DataFrame:
+    """(node, FOLDED): sketches of fewer classes, which are those of SKETCH taken together."""
+    sketches = _sketches(prints)
+    return sketches.select("node", *[reduce(Column.bitwiseXOR, [F.col(c) for c in PARTS[k :: len(FOLDED)]]).alias(f) for k, f in enumerate(FOLDED)])
+
+
 def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame) -> DataFrame:
-    """Of the candidates (a, b) those whose whole sets are similar; each set is made from one text that has it."""
-    pairs = cut_lineage(pairs)
+    """Of the candidates (a, b) those whose whole sets are similar; each set is made from one text that has it.
+
+    Sketches are compared first, so few sets are made and travel.
+    """
+    sketches = _sketches(prints)
+    one = lambda x: sketches.select(F.col("node").alias(x), *[F.col(c).alias(f"{x}_{c}") for c in ("n", *PARTS)])
+    possible = _close("a_n", [f"a_{c}" for c in PARTS], "b_n", [f"b_{c}" for c in PARTS])
+    pairs = cut_lineage(pairs.join(one("a"), "a").join(one("b"), "b").where(possible).select("a", "b"))
     nodes = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "node")
     there = cut_lineage(prints.select("node", "_id", "_h").join(nodes, "node", "left_semi").groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("x")).select("node", "x._id", "x._h"))
-    among = _among(there.select(_key("_id", "_h").alias("key")))
-    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__h"), F.col("text").alias("_text")).where(among(_key("__id", "__h")))
+    among = among_keys(there.select(key_of("_id", "_h").alias("key")))
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__h"), F.col("text").alias("_text")).where(among(key_of("__id", "__h")))
     sets = texts.join(there, F.col("__id").eqNullSafe(F.col("_id")) & (F.col("__h") == F.col("_h"))).select("node", "_text").mapInArrow(_sets, "node long, hashes binary")
     sets = cut_lineage(sets)
     side = lambda x: sets.select(F.col("node").alias(x), F.col("hashes").alias(f"set_{x}"))
@@ -220,24 +262,30 @@ def near_links(prints: DataFrame, docs: DataFrame, proposed: DataFrame) -> DataF
     links = _verified(proposed, prints, docs)
     meets = _with_roots(meets.select("token", "node", "n", "i"), links)
     release(docs.sparkSession)
-    for k in range(ROUNDS):
-        by_root = meets.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
-        left = by_root.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs"), F.sum("k").alias("k")).first()
-        if (left["pairs"] or 0) <= PAIRS_EACH * (left["k"] or 0):
-            break
+    by_root = meets.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("kk"))
+    left = by_root.agg(F.sum((F.col("k") * F.col("k") - F.col("kk")) / 2).alias("pairs"), F.sum("k").alias("k")).first()
+    before = links.count()
+    for k in range(ROUNDS if (left["pairs"] or 0) > PAIRS_EACH * (left["k"] or 0) else 0):
         lead = meets.groupBy("token").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "i", "root")).alias("l"), F.min("root").alias("low"), F.max("root").alias("high"))
         lead = lead.where("low < high").select("token", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "n", "i", "root")])
-        links = links.unionByName(_verified(_possible(meets.join(lead, "token").where("root <> l_root")), prints, docs))
+        found = _verified(_possible(meets.join(lead, "token").where("root <> l_root")), prints, docs)
+        links = links.unionByName(found)
         meets = _with_roots(meets, links)
         release(docs.sparkSession)
+        # What is left then is mostly unlike, and sketches tell that.
+        new = found.count()
+        if new < before:
+            break
+        before += new
     mixed = meets.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-    rest = meets.join(mixed, "token")
-    other = rest.select("token", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "i", "root")])
-    return links.unionByName(_verified(_possible(rest.join(other, "token").where("root < l_root")), prints, docs))
+    rest = meets.join(mixed, "token").join(_folded(prints), "node")
+    other = rest.select("token", *[F.col(c).alias(f"l_{c}") for c in ("node", "n", "i", "root", *FOLDED)])
+    both = rest.join(other, "token").where("root < l_root").where(_close("n", FOLDED, "l_n", [f"l_{c}" for c in FOLDED]))
+    return links.unionByName(_verified(_possible(both), prints, docs))
 
 
 def prints_of(docs: DataFrame) -> DataFrame:
-    """(_id, _h, node, n, rare, common, fp) of each document: its shingle set's hash and size, what it must share with similar sets, its fingerprint."""
+    """(_id, _h, node, n, rare, common, fp, PARTS) of each document: its shingle set's hash and size, what it must share with similar sets, its fingerprint, its sketch."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h"), F.col("text").alias("_text"))
     counts = cut_lineage(texts.select("_text").mapInArrow(_count_common, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")))
@@ -245,4 +293,4 @@ def prints_of(docs: DataFrame) -> DataFrame:
     token = np.array([r["token"] for r in often], np.int64).view(np.uint64)
     order = np.argsort(token)
     common = spark.sparkContext.broadcast((token[order], np.array([r["n"] for r in often], np.int64)[order]))
-    return texts.mapInArrow(_prefixes(common), "_id long, _h long, node long, n int, rare array<long>, common array<long>, fp long")
+    return texts.mapInArrow(_prefixes(common), "_id long, _h long, node long, n int, rare array<long>, common array<long>, fp long, " + ", ".join(f"{s} long" for s in PARTS))

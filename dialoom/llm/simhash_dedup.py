@@ -252,9 +252,16 @@ def representatives(docs: DataFrame) -> DataFrame:
     roots = connected_components(links).select(F.col("node").alias("_node"), "root")
     least = prints.groupBy("node").agg(F.min(F.struct("_id", "_h")).alias("low"))
     lowest = least.join(roots, F.col("node") == F.col("_node"), "left").groupBy(F.coalesce("root", "node").alias("group")).agg(F.min("low").alias("low"))
+    # Only rows that go, or whose id and text are repeated, have to meet others: all else stays where it is.
+    lowest = cut_lineage(lowest.select(F.col("low").alias("key")))
+    keys = prints.groupBy(F.struct("_id", "_h").alias("key")).agg(F.count(F.lit(1)).alias("copies"))
+    single = lowest.withColumn("stays", F.lit(True))
+    decided = cut_lineage(keys.join(single, "key", "left").where("copies > 1 or stays is null").select(jaccard_dedup.key_of("key._id", "key._h").alias("key")))
+    among = jaccard_dedup.among_keys(decided)
     # Structs are equal where the same fields are null; columns of any name stay inside ``doc``.
-    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    return rows.join(lowest.select(F.col("low").alias("key")), "key", "left_semi").groupBy("key").agg(F.min("doc").alias("doc")).select("doc.*")
+    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_h")).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).withColumn("meets", among(jaccard_dedup.key_of("key._id", "key._h")))
+    met = rows.where("meets").join(lowest, "key", "left_semi").groupBy("key").agg(F.min("doc").alias("doc"))
+    return rows.where("not meets").select("doc.*").unionByName(met.select("doc.*"))
 
 
 def op2_simhash_dedup(docs: DataFrame) -> DataFrame:
