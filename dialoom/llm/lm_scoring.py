@@ -6,8 +6,8 @@ words fall into by a hash. Every decision is predicted by several hashed context
 word, the last symbol) and by what followed the same two symbols earlier in the same
 text. Each predictor's log odds are weighted by a gate, chosen by how often its context was seen, and
 summed; the sum gives the probability. The gated weights are refined online while the training texts are
-counted: every ``FIT_EACH``-th group of texts is predicted before its counts are added, and the weights
-follow the gradient, so what they learn from grows with the corpus. While a text is scored, its own scale
+counted: every group of texts is predicted before its counts are added, and the weights
+follow the gradient, so they learn from all training texts. While a text is scored, its own scale
 for every predictor follows the gradient too, segment by segment; the segments double from 16 tokens on.
 
 Behind a class, a known word has its training count less a discount, out of its class; the unknown words of
@@ -46,7 +46,6 @@ CLASSES = 1 << 10
 SLOT_BITS = 22
 SPELL_BITS = 18
 FREQUENT = 512
-FIT_EACH = 16
 END = 0
 TABLES = 2
 INPUTS = 2 + TABLES  # none, frequent, last, match
@@ -391,21 +390,20 @@ def spell_weights() -> np.ndarray:
 
 
 def _count_spelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All distinct training words, each counted once: how words are built. Every FIT_EACH-th piece is predicted before it is counted."""
+    """All distinct training words, each counted once: how words are built. Every piece is predicted before it is counted."""
     tables = [np.zeros(2 << SPELL_BITS, np.uint32) for _ in range(SPELL_ORDERS)]
     weights, fitted, piece = spell_weights(), 0, 0
     for batch in batches:
         words = [w for w in batch.column("word").to_pylist() if w != END_TOKEN]
         for at in range(0, len(words), 2000):
             where, bit, _ = spell_paths(words[at : at + 2000])
-            if piece % FIT_EACH == 1:
-                codes = [slot_codes_at(tables[k], where[k]) for k in range(SPELL_ORDERS)]
-                z = sum(weights[k][GATE[codes[k]]] * ODDS[codes[k]] for k in range(SPELL_ORDERS))
-                p = 1 / (1 + np.exp(-np.clip(z, -CLIP, CLIP)))
-                for k in range(SPELL_ORDERS):
-                    o, gate = ODDS[codes[k]], GATE[codes[k]]
-                    weights[k] += 0.2 / (1 + piece / 400) * np.bincount(gate, (bit - p) * o, GATES) / (np.bincount(gate, p * (1 - p) * o * o, GATES) + 50)
-                fitted += len(bit)
+            codes = [slot_codes_at(tables[k], where[k]) for k in range(SPELL_ORDERS)]
+            z = sum(weights[k][GATE[codes[k]]] * ODDS[codes[k]] for k in range(SPELL_ORDERS))
+            p = 1 / (1 + np.exp(-np.clip(z, -CLIP, CLIP)))
+            for k in range(SPELL_ORDERS):
+                o, gate = ODDS[codes[k]], GATE[codes[k]]
+                weights[k] += 0.2 / (1 + piece / 400) * np.bincount(gate, (bit - p) * o, GATES) / (np.bincount(gate, p * (1 - p) * o * o, GATES) + 50)
+            fitted += len(bit)
             for k in range(SPELL_ORDERS):
                 np.add.at(tables[k], where[k] * 2 + bit, np.uint32(1))
             piece += 1
@@ -452,14 +450,12 @@ def _count_contexts(shared):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             for group in _groups(texts, 1 << 18):
                 symbols, starts, _ = code.encode([tokens_of(texts[k]) for k in group])
-                fit = step % FIT_EACH == 1
-                ctx, match = contexts(symbols, starts, code, fit)
-                if fit:
-                    mixer = Mixer(code, [_At(t) for t in counts.tables], weights)
-                    for at in range(0, len(symbols), 8192):
-                        cut = slice(at, at + 8192)
-                        fitted += mixer.learn(symbols[cut], ctx[:, cut], match[cut], step)
-                    weights = mixer.weights
+                ctx, match = contexts(symbols, starts, code)
+                mixer = Mixer(code, [_At(t) for t in counts.tables], weights)
+                for at in range(0, len(symbols), 8192):
+                    cut = slice(at, at + 8192)
+                    fitted += mixer.learn(symbols[cut], ctx[:, cut], match[cut], step)
+                weights = mixer.weights
                 counts.add(symbols, ctx)
                 step += 1
         for k in range(TABLES):
