@@ -42,7 +42,11 @@ TOKENIZER = "byte_bpe_50k.json"
 
 #: Latin letters of every kind, digits, marks and white space: no letter class differs between the encoders here.
 COMMON = re.compile("[\x00-\u024f\u2010-\u2027\u20ac]*")
-UNITS = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+\Z")
+#: What the tokenizer takes for white space; Python's own also has 0x1C to 0x1F.
+SPACES = "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+UNITS = re.compile(f"[{SPACES}]*[^{SPACES}]+|[{SPACES}]+\\Z")
+#: A blank behind white space begins no run, so no unit.
+INSIDE_ASCII, INSIDE = ([s + " " for s in some] for some in (SPACES[:6], SPACES))
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -102,7 +106,7 @@ class Ids:
 
     @staticmethod
     def units(text: str) -> list[str]:
-        if "  " not in text and not text.endswith(" "):
+        if not text.endswith(" ") and not any(s in text for s in (INSIDE_ASCII if text.isascii() else INSIDE)):
             head, *rest = text.split(" ")
             return [head, *(" " + r for r in rest)] if head else [" " + r for r in rest]
         return UNITS.findall(text)

@@ -62,6 +62,16 @@ def test_ids_of_whole_texts_and_many_strings(spark):
             assert ids.encode(text)[0].tolist() == want.ids + [1]
 
 
+def test_runs_of_every_white_space_stay_whole():
+    """A run may mix blanks with other white space, of Unicode too; it is never cut inside."""
+    ids = P.Ids(P.tokenizer_path())
+    texts = ["a\xa0 \xa0\nb", "\x85 \x85 x"] + [f"a{s} {t}b {s}{s} c{t} " for s in P.SPACES + "\x1c\x1f" for t in P.SPACES]
+    rng = random.Random(4)
+    texts += ["".join(rng.choice(P.SPACES + "  \x1c\u200bab'é1") for _ in range(rng.randrange(1, 20))) for _ in range(20_000)]
+    for text, want in zip(texts, ids.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids.encode(text)[0].tolist() == want.ids + [1]
+
+
 def brute(places, penalties, window):
     best, back = [0.0] + [float("inf")] * (len(places) - 1), [0] * len(places)
     for j in range(1, len(places)):
