@@ -218,13 +218,15 @@ class Counts:
         self.tables = [np.zeros(2 << code.slot_bits, np.uint32) for _ in range(TABLES)]
 
     def add(self, symbols: np.ndarray, ctx: np.ndarray, most: int = 1 << 14) -> None:
-        one = np.uint32(1)
         for at in range(0, len(symbols), most):  # pieces stay in the processor's cache
             lengths, place = self.code.spread(symbols[at : at + most])
-            bit = self.code.bits[place]
             node_hash = self.code.node_hash[place]
-            for k in range(TABLES):
-                np.add.at(self.tables[k], (np.repeat(ctx[k, at : at + most], lengths) ^ node_hash) * 2 + bit, one)
+            self.add_at([np.repeat(ctx[k, at : at + most], lengths) ^ node_hash for k in range(TABLES)], self.code.bits[place])
+
+    def add_at(self, where: list[np.ndarray], bit: np.ndarray) -> None:
+        """Of each table the slots, and the bits taken there."""
+        for table, slots in zip(self.tables, where, strict=True):
+            np.add.at(table, slots * 2 + bit, np.uint32(1))
 
     def slots(self) -> list[np.ndarray]:
         return [slot_codes(t) for t in self.tables]
@@ -239,6 +241,10 @@ def slot_codes(counts: np.ndarray) -> np.ndarray:
     return (gate << np.uint16(LEVEL_BITS)) | np.clip(np.rint(odds * STEPS) + half, 0, 2 * half - 1).astype(np.uint16)
 
 
+#: Codes of all pairs of counts below 1 << SMALL_BITS, which most pairs are while counts grow: looked up, not worked out again.
+SMALL_BITS = 9
+SMALL = slot_codes(np.stack([np.repeat(np.arange(1 << SMALL_BITS), 1 << SMALL_BITS), np.tile(np.arange(1 << SMALL_BITS), 1 << SMALL_BITS)], 1).astype(np.uint32).reshape(-1))
+
 #: Of every code: its log odds and its gate.
 ODDS = ((np.arange(GATES << LEVEL_BITS) & ((1 << LEVEL_BITS) - 1)) - (1 << (LEVEL_BITS - 1))).astype(np.float32) / STEPS
 GATE = (np.arange(GATES << LEVEL_BITS) >> LEVEL_BITS).astype(np.intp)
@@ -263,13 +269,18 @@ class Mixer:
         self.votes = [(weights[k][GATE] * ODDS).astype(np.float32) for k in range(INPUTS - 1)]
         self.match_vote = weights[-1][GATE].astype(np.float32)
 
-    def found(self, symbols: np.ndarray, ctx: np.ndarray, match: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-        """(decisions of each token, sign of each bit, slot codes of the other predictors, matched decisions, signs of the matched bits)."""
+    def found(self, symbols: np.ndarray, ctx: np.ndarray, match: np.ndarray, asked: list | None = None) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+        """(decisions of each token, sign of each bit, slot codes of the other predictors, matched decisions, signs of the matched bits).
+
+        ``asked`` gets the tables' slots and the bits, for ``Counts.add_at``.
+        """
         code = self.code
         lengths, place = code.spread(symbols)
         node_hash = code.node_hash[place]
-        codes = [code.plain[code.nodes[place]]]
-        codes += [self.slots[k][np.repeat(ctx[k], lengths) ^ node_hash] for k in range(TABLES)]
+        where = [np.repeat(ctx[k], lengths) ^ node_hash for k in range(TABLES)]
+        if asked is not None:
+            asked.append((where, code.bits[place]))
+        codes = [code.plain[code.nodes[place]], *[self.slots[k][where[k]] for k in range(TABLES)]]
         # Where the matched word's path is still this one's, the bit that it takes.
         who = np.flatnonzero(match >= 0)
         there = match[who]
@@ -288,19 +299,23 @@ class Mixer:
         x[-1][decision] = sign * self.match_vote[codes[-1][decision]]
         return x
 
-    def learn(self, symbols: np.ndarray, ctx: np.ndarray, match: np.ndarray, step: int) -> int:
+    def learn(self, symbols: np.ndarray, ctx: np.ndarray, match: np.ndarray, step: int, asked: list | None = None) -> int:
         """Gated weights follow the gradient over texts that the counts leave out; steps follow each gate's curvature."""
-        _, signs, codes, decision, matched = self.found(symbols, ctx, match)
+        _, signs, codes, decision, matched = self.found(symbols, ctx, match, asked)
         z = sum(self.inputs(codes, decision, matched))
         p = 1 / (1 + np.exp(-np.clip(z, -CLIP, CLIP)))
-        err, curve = (signs + 1) / 2 - p, p * (1 - p)
+        err, curve = ((signs + 1) / 2 - p).astype(np.float64), (p * (1 - p)).astype(np.float64)
         rate, weights = 0.2 / (1 + step / 50), self.weights.copy()
         for k in range(INPUTS):
             if k < INPUTS - 1:
-                o, gate, e, c = ODDS[codes[k]], GATE[codes[k]], err, curve
+                # Summed by code first: all decisions of a code have its odds and gate.
+                at = codes[k].astype(np.intp)
+                e, c = (np.bincount(at, x, len(ODDS)) for x in (err, curve))
+                slope, bend = (e * ODDS).reshape(GATES, -1).sum(1), (c * ODDS * ODDS).reshape(GATES, -1).sum(1)
             else:
-                o, gate, e, c = matched, GATE[codes[-1][decision]], err[decision], curve[decision]
-            weights[k] += rate * np.bincount(gate, e * o, GATES) / (np.bincount(gate, c * o * o, GATES) + 50)
+                gate = GATE[codes[-1][decision]]
+                slope, bend = np.bincount(gate, err[decision] * matched, GATES), np.bincount(gate, curve[decision], GATES)
+            weights[k] += rate * slope / (bend + 50)
         self.use(weights)
         return len(signs)
 
@@ -413,9 +428,13 @@ def _count_spelling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def slot_codes_at(counts: np.ndarray, where: np.ndarray) -> np.ndarray:
-    pairs = np.empty(2 * len(where), np.uint32)
-    pairs[::2], pairs[1::2] = counts[where * 2], counts[where * 2 + 1]
-    return slot_codes(pairs)
+    pairs = counts.view("<u8")[where]
+    n0, n1 = pairs.astype(np.uint32), (pairs >> np.uint64(32)).astype(np.uint32)
+    large = np.flatnonzero((n0 | n1) >> np.uint32(SMALL_BITS))
+    out = SMALL.take(((n0 << np.uint32(SMALL_BITS)) | n1) & np.uint32(len(SMALL) - 1))
+    if len(large):
+        out[large] = slot_codes(pairs[large].view("<u4"))
+    return out
 
 
 # --- tables in pieces ------------------------------------------------------------------------------
@@ -451,12 +470,13 @@ def _count_contexts(shared):
             for group in _groups(texts, 1 << 18):
                 symbols, starts, _ = code.encode([tokens_of(texts[k]) for k in group])
                 ctx, match = contexts(symbols, starts, code)
-                mixer = Mixer(code, [_At(t) for t in counts.tables], weights)
+                mixer, asked = Mixer(code, [_At(t) for t in counts.tables], weights), []
                 for at in range(0, len(symbols), 8192):
                     cut = slice(at, at + 8192)
-                    fitted += mixer.learn(symbols[cut], ctx[:, cut], match[cut], step)
+                    fitted += mixer.learn(symbols[cut], ctx[:, cut], match[cut], step, asked)
                 weights = mixer.weights
-                counts.add(symbols, ctx)
+                for where, bit in asked:
+                    counts.add_at(where, bit)
                 step += 1
         for k in range(TABLES):
             yield from _pieces(k, counts.tables[k])

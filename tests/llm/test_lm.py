@@ -134,3 +134,15 @@ def test_weights_learn_from_every_text():
 
     one = fitted(["a b c unseen a b"])
     assert one > 0 and fitted(["a b c unseen a b"] * 40) == 40 * one
+
+
+def test_codes_of_small_counts_are_looked_up(monkeypatch):
+    """Exactly those that would be worked out; only pairs with a large count still are."""
+    rng = np.random.default_rng(3)
+    small = rng.integers(0, 1 << L.SMALL_BITS, 4000).astype(np.uint32)
+    mixed = np.where(rng.random(4000) < 0.3, rng.integers(0, 1 << 32, 4000), small).astype(np.uint32)
+    where = rng.integers(0, 2000, 9000).astype(np.int32)
+    assert (L.slot_codes_at(mixed, where) == L.slot_codes(mixed)[where]).all()
+    want = L.slot_codes(small)[where]
+    monkeypatch.setattr(L, "slot_codes", None)
+    assert (L.slot_codes_at(small, where) == want).all()
