@@ -37,7 +37,7 @@ SIMILAR = (4, 5)
 #: Shingles known as common, for their order alone; what is not among them is in order of its hash.
 COMMON = 1 << 17
 #: Leaders are tried where more pairs than this for each meeting are left to compare, and again while a round doubles the links.
-ROUNDS, PAIRS_EACH = 4, 2
+ROUNDS, PAIRS_EACH = 4, 16
 #: Bytes of a shingle's hash that travel: two texts of 1,000 shingles have one falsely in common once in a million pairs.
 SENT = 5
 #: Size of the filter that keeps texts without candidates out of a shuffle: 4 MB, whatever the number of candidates.
@@ -274,7 +274,7 @@ def near_links(prints: DataFrame, docs: DataFrame, proposed: DataFrame) -> DataF
         release(docs.sparkSession)
         # What is left then is mostly unlike, and sketches tell that.
         new = found.count()
-        if new < before:
+        if not new or new < before:
             break
         before += new
     mixed = meets.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")

@@ -76,3 +76,17 @@ def test_sketches_lose_no_similar_pair(spark):
     found = spark.createDataFrame(rows, names).select("k", "n", "similar", J._close("n", J.PARTS, "l_n", [f"l_{c}" for c in J.PARTS]).alias("close")).collect()
     assert all(r.close for r in found if r.similar) and sum(r.similar for r in found) >= 12
     assert not any(r.close for r in found if r.k % 5 == 4 and 9 <= r.n <= 1500)
+
+
+def test_few_pairs_are_compared_without_rounds(spark, monkeypatch):
+    """Leaders are for large groups of near copies; where unlike texts meet in few pairs, rounds would only shuffle all meetings again."""
+    from dialoom.llm import jaccard_dedup as J
+
+    monkeypatch.setattr(J, "COMMON", 0)
+    made, with_roots = [], J._with_roots
+    monkeypatch.setattr(J, "_with_roots", lambda *a: (made.append(1), with_roots(*a))[1])
+    texts = [f"g{g}a g{g}b g{g}c g{g}d g{g}e u{k} v{k} w{k} x{k}" for g in range(12) for k in range(24 * g, 24 * g + 24)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = J.prints_of(docs).cache()
+    links = J.near_links(prints, docs, spark.createDataFrame([], "a long, b long"))
+    assert links.count() == 0 and len(made) == 1
